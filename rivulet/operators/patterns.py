@@ -49,13 +49,16 @@ def match_pattern(
     the stages found in time and ``timeout_ts``, the start plus ``within``. An empty ``key``
     takes the whole table as one sequence, still split over tasks.
     """
+    if within is None and not key and any(s.contiguity == FOLLOWED_BY_ANY for s in stages):
+        raise ValueError("followed_by_any over a whole table needs within")
     segments: list[list[Stage]] = []
     for i, stage in enumerate(stages):
         if i == 0 or stage.contiguity == FOLLOWED_BY_ANY:
             segments.append([stage])
         else:
             segments[-1].append(stage)
-        if stage.times != (1, 1) and (stage.contiguity == FOLLOWED_BY_ANY or 0 < i < len(stages) - 1):
+    for segment in segments:
+        if any(s.times != (1, 1) for s in segment[1:-1]):
             raise ValueError("times is supported on the first and the last stage of a chain")
     plan = o.layout(df, key, [time, seq], rows_per_chunk)
     chains = [_chain(df, key, time, seq, segment, within, plan) for segment in segments]
@@ -99,10 +102,8 @@ def _chain(df, key, time, seq, stages, within, plan) -> dict[str, DataFrame]:
         least, most = stages[i].times
         if (least, most) == (1, 1):
             continue
-        fields = F.struct("_row", *[c for c in rows.columns if c.startswith("_after")])
-        hits = rows.where(f"_met{i}").withColumn("_item", fields)
-        hits = o.following(hits, key, order, F.col("_item._row"), most, f"_group{i}", plan=plan)
-        hits = hits.drop("_item")
+        hits = rows.where(f"_met{i}")
+        hits = o.following(hits, key, order, F.col("_row"), most, f"_group{i}", plan=plan)
         if i == 0 and last == 0:
             rows = hits
         else:
@@ -179,7 +180,7 @@ def _chain(df, key, time, seq, stages, within, plan) -> dict[str, DataFrame]:
         (start_time + interval(within or "0 seconds")).alias("timeout_ts"),
     )
     if within is None:
-        timeouts = timeouts.limit(0)
+        timeouts = timeouts.where(F.lit(False))
     return {"matches": matches, "timeouts": timeouts}
 
 
