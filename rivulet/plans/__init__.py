@@ -1,0 +1,4 @@
+"""Importing this package fills the query registry."""
+
+from rivulet.plans import basics, cases, matching, windowing  # noqa: F401
+from rivulet.plans.registry import QUERIES, SQL  # noqa: F401
