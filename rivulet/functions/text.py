@@ -15,7 +15,10 @@ def tokens(line: Column, separator: str = " ") -> Column:
     parts inside the line are kept.
     """
     literal = re.escape(separator)
-    stripped = F.regexp_replace(line, f"({literal})+$", "")
+    if len(separator) == 1:
+        stripped = F.rtrim(line, F.lit(separator))
+    else:
+        stripped = F.regexp_replace(line, f"({literal})+$", "")
     parts = F.split(stripped, literal)
     nothing = F.expr("cast(array() as array<string>)")
     return F.when((line != "") & (stripped == ""), nothing).otherwise(parts)

@@ -46,6 +46,15 @@ def micros(duration: str) -> int:
     return round(seconds(duration) * 1_000_000)
 
 
+def epoch_micros(rt: Column) -> Column:
+    return F.unix_micros(rt.cast("timestamp"))
+
+
+def floor_div(value: Column, width: int) -> Column:
+    """``value // width`` on longs, exact also for negative values."""
+    return ((value - F.pmod(value, F.lit(width))) / F.lit(width)).cast("long")
+
+
 def interval(duration: str) -> Column:
     """The duration as a day-time interval, to add to a timestamp."""
     return F.make_dt_interval(secs=F.lit(seconds(duration)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy as GroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,53 +83,52 @@ def bitmap_distinct(df: DataFrame, groups: Sequence, value: Column, name: str =
 def accumulate(
     df: DataFrame,
     keys: Sequence[str],
-    add: Callable[[pd.DataFrame], dict],
-    merge: Callable[[pd.DataFrame], dict],
+    add: Callable[[GroupBy], pd.DataFrame],
+    merge: Callable[[GroupBy], pd.DataFrame],
     state: str,
     result: dict[str, Column],
 ) -> DataFrame:
     """A custom accumulator: ``add`` rows into states, ``merge`` states, read ``result``.
 
-    ``state`` is the accumulator's schema. ``add`` turns the rows of one key in one Arrow
-    batch into a state, ``merge`` turns several states of one key into one. Rows are
-    folded where they are read, so a hot key reaches the shuffle as one state per task,
-    and the merge reads its states batch by batch.
+    ``state`` is the accumulator's schema. ``add`` gets a batch of rows grouped by key
+    and ``merge`` a batch of states grouped by key; both return one state row per key
+    (``groups.agg(n=("x", "size"))``), so pandas works on all keys at once. Rows are folded
+    where they are read: a hot key reaches the shuffle as a few states per task.
     """
-    fields = T.StructType.fromDDL(state).fields
-    schema = T.StructType([*df.select(*keys).schema.fields, *fields])
-    columns = schema.names
     keys = list(keys)
+    schema = T.StructType([*df.select(*keys).schema.fields, *T.StructType.fromDDL(state).fields])
 
-    def frame(key, values: dict) -> pd.DataFrame:
-        return pd.DataFrame([[*key, *[values[c] for c in columns[len(keys) :]]]], columns=columns)
+    def fold(step: Callable, rows: pd.DataFrame) -> pd.DataFrame:
+        # Keys keep their order of appearance.
+        return step(rows.groupby(keys, dropna=False, sort=False)).reset_index()[schema.names]
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
-            parts = [frame(k, add(g)) for k, g in batch.groupby(keys, dropna=False)]
-            if not parts:
+            if batch.empty:
                 continue
-            fresh = pd.concat(parts, ignore_index=True)
-            if held is None:
-                held = fresh
-            else:
-                both = pd.concat([held, fresh], ignore_index=True)
-                groups = both.groupby(keys, dropna=False)
-                held = pd.concat([frame(k, merge(g)) for k, g in groups], ignore_index=True)
-            if len(held) > 50_000:
-                # Many keys: hand the states on, the final merge takes several per key.
+            fresh = fold(add, batch)
+            held = fresh if held is None else fold(merge, pd.concat([held, fresh]))
+            if len(held) > 100_000:
+                # Many keys: hand the states on, the last step takes several per key.
                 yield held
                 held = None
         if held is not None:
             yield held
 
-    def finish(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # States come sorted by key, so only the last key of a batch may go on.
         held = None
         for batch in batches:
-            both = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            held = frame(key, merge(both))
-        yield held
+            if batch.empty:
+                continue
+            merged = fold(merge, batch if held is None else pd.concat([held, batch]))
+            yield merged.iloc[:-1]
+            held = merged.iloc[-1:]
+        if held is not None:
+            yield held
 
-    partial = df.mapInPandas(fold, schema)
-    merged = partial.groupBy(*keys).applyInPandas(finish, schema)
+    states = df.mapInPandas(partial, schema)
+    sorted_states = states.repartition(*keys).sortWithinPartitions(*keys)
+    merged = sorted_states.mapInPandas(final, schema)
     return merged.select(*keys, *[c.alias(n) for n, c in result.items()])

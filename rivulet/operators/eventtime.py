@@ -10,19 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.time import micros
+from rivulet.functions.time import epoch_micros, micros
 from rivulet.operators import ordered as o
 
 ON_TIME, REFIRE, LATE = "on_time", "refire", "late"
 
 
-def _micros(rt: str) -> Column:
-    return F.unix_micros(F.col(rt).cast("timestamp"))
-
-
 def with_watermark_before(
     df: DataFrame,
     rt: str,
@@ -32,7 +28,7 @@ def with_watermark_before(
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Add the watermark (epoch microseconds) each row finds on arrival; null for the first."""
-    latest = o.running_max(_micros(rt), before=True)
+    latest = o.running_max(epoch_micros(F.col(rt)), before=True)
     out = o.running(df, [], [seq], {name: latest}, rows_per_chunk=rows_per_chunk)
     return out.withColumn(name, F.col(name) - F.lit(micros(bound)))
 
@@ -55,7 +51,7 @@ def classify(
     """
     marked = with_watermark_before(df, rt, seq, bound, rows_per_chunk=rows_per_chunk)
     spread = marked.withColumn("_w", F.window(rt, size, slide))
-    closing = F.unix_micros(F.col("_w.end").cast("timestamp")) - 1000
+    closing = epoch_micros(F.col("_w.end")) - 1000
     wm = F.col("wm_before")
     status = (
         F.when(wm.isNull() | (closing > wm), ON_TIME)
@@ -109,12 +105,22 @@ def firings(
     first = accepted.where(F.col("status") == ON_TIME).groupBy(*group).agg(
         F.lit(None).cast("long").alias(seq), F.count("*").alias("cnt")
     )
-    # Rows that arrive on time precede the late ones of the same window.
-    counted = o.running(
-        accepted, group, [seq], {"cnt": o.running_count()}, rows_per_chunk=rows_per_chunk
+    # Rows on time precede the late ones of their window, so a late row sees all of them.
+    late = o.running(
+        accepted.where(F.col("status") == REFIRE),
+        group,
+        [seq],
+        {"_late": o.running_count()},
+        rows_per_chunk=rows_per_chunk,
     )
-    again = counted.where(F.col("status") == REFIRE).select(
-        *group, F.col(seq).cast("long").alias(seq), "cnt"
+    on_time = first.select(*[F.col(g).alias(f"_k_{g}") for g in group], F.col("cnt").alias("_on"))
+    match = F.lit(True)
+    for g in group:
+        match = match & F.col(g).eqNullSafe(F.col(f"_k_{g}"))
+    again = late.join(on_time, match, "left").select(
+        *group,
+        F.col(seq).cast("long").alias(seq),
+        (F.coalesce(F.col("_on"), F.lit(0)) + F.col("_late")).alias("cnt"),
     )
     return first.select(*group, seq, "cnt", F.lit(ON_TIME).alias("firing")).unionByName(
         again.withColumn("firing", F.lit(REFIRE))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.time import interval, micros
+from rivulet.functions.time import epoch_micros, floor_div, interval, micros
 from rivulet.operators import ordered as o
 
 
@@ -71,14 +71,10 @@ def interval_join(
         return a.join(b, _equal(keys) & _within(lower, upper) & extra).select(*keep)
     width = max(1, micros(upper) - micros(lower))
 
-    def bucket(column: Column) -> Column:
-        return F.floor(column / F.lit(width))
-
-    right_us = F.unix_micros(F.col("r__t").cast("timestamp"))
-    reach = F.unix_micros(F.col("l__t").cast("timestamp")) + F.lit(micros(lower))
-    b = b.withColumn("r__bucket", bucket(right_us))
-    # [reach, reach + width] touches this bucket and the next.
-    a = a.withColumn("l__bucket", F.explode(F.array(bucket(reach), bucket(reach) + 1)))
+    reach = floor_div(epoch_micros(F.col("l__t")) + F.lit(micros(lower)), width)
+    b = b.withColumn("r__bucket", floor_div(epoch_micros(F.col("r__t")), width))
+    # An interval touches the bucket it starts in and the next.
+    a = a.withColumn("l__bucket", F.explode(F.array(reach, reach + 1)))
     return a.join(b, _equal([*keys, "_bucket"]) & _within(lower, upper) & extra).select(*keep)
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +94,9 @@ def _chain(df, key, time, seq, stages, within, plan) -> dict[str, DataFrame]:
     """Matches of stages that each have one possible successor."""
     order = [time, seq]
     rows = df.withColumn("_row", _row(df))
+    if all(s.contiguity != NEXT for s in stages[1:]):
+        # Rows that meet no condition cannot matter, so they need not be shuffled.
+        rows = rows.where(reduce(or_, [s.condition for s in stages]))
     for i, stage in enumerate(stages):
         met = F.coalesce(stage.condition, F.lit(False))
         rows = rows.withColumn(f"_met{i}", met)

@@ -25,7 +25,8 @@ def top_n(
     size sends few rows.
     """
     window = Window.partitionBy(*group).orderBy(F.desc(count), *[F.asc(t) for t in ties])
-    return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
+    best = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
+    return best.withColumn(name, F.col(name).cast("long"))
 
 
 def top_n_report(
@@ -68,7 +69,7 @@ def top_n_stream(
         "window_end",
         F.col("_row.k").alias(key),
         (-F.col("_row.neg")).alias(count),
-        (F.col("_pos") + 1).alias("rank"),
+        (F.col("_pos") + 1).cast("long").alias("rank"),
     )
 
 

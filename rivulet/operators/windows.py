@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.functions.time import interval, micros
+from rivulet.functions.time import epoch_micros, floor_div, interval, micros
 from rivulet.operators import ordered as o
 
 
@@ -42,35 +42,63 @@ def sliding_from_panes(
     slide: str,
     sums: dict[str, Column],
 ) -> DataFrame:
-    """Sliding sums (``sums``: name -> value to add up), expanded from panes, not rows.
+    """Sliding sums of whole numbers (``sums``: name -> value), without copying rows.
 
-    Rows are first added up per slide-wide pane. Panes of a key that lie close in time are
-    brought to one task before they are expanded to the windows they belong to, so
-    the copies are combined there and only about one row per key and window is
-    shuffled again. Equal to :func:`sliding` when the slide divides the size.
+    Rows are added up per slide-wide pane. A pane raises a key's sums at the first window
+    it belongs to and lowers them after the last; between two such changes the sums stay
+    the same. So a running sum over two changes per pane gives all windows, whatever
+    ``size / slide`` is. Changes are split into blocks of time, which bounds what one task
+    orders; a pane whose windows reach into the next block is opened there again.
+
+    Equal to :func:`sliding` when the slide divides the size.
     """
     size_us, slide_us = micros(size), micros(slide)
     if size_us % slide_us:
         raise ValueError("the slide must divide the window size")
-    panes_per_window = size_us // slide_us
-    span = 8 * panes_per_window
+    panes = size_us // slide_us
+    span = 16 * panes
+
+    # A window is named by its end, in slides since the epoch.
+    first = (floor_div(epoch_micros(F.col(rt)), slide_us) + 1).alias("_first")
+    counted = df.groupBy(*keys, first).agg(
+        F.count("*").alias("_rows"), *[F.sum(v).alias(n) for n, v in sums.items()]
+    )
+    start, after = F.col("_first"), F.col("_first") + panes
+    block, next_block = floor_div(start, span), floor_div(after, span)
+
+    def change(at: Column, where: Column, sign: int) -> Column:
+        return F.struct(at.alias("at"), where.alias("block"), F.lit(sign).alias("sign"))
 
-    panes = df.groupBy(*keys, F.window(rt, slide).alias("_pane")).agg(
-        *[F.sum(v).alias(n) for n, v in sums.items()]
+    opened, closed = change(start, block, 1), change(after, next_block, -1)
+    reopened = change(next_block * span, next_block, 1)
+    changes = F.when(block == next_block, F.array(opened, closed)).otherwise(
+        F.array(opened, reopened, closed)
     )
-    start = F.col("_pane.start")
-    number = F.floor(F.unix_micros(start.cast("timestamp")) / F.lit(slide_us))
-    near = panes.withColumn("_block", F.floor(number / span)).repartition(*keys, "_block")
-    steps = F.sequence(F.lit(0), F.lit(panes_per_window - 1))
-    copies = near.select(
-        *keys, *sums, F.col("_pane.end").alias("_end"), F.explode(steps).alias("_step")
+    values = ["_rows", *sums]
+    steps = counted.select(*keys, *values, F.explode(changes).alias("_c")).select(
+        *keys,
+        F.col("_c.block").alias("_block"),
+        F.col("_c.at").alias("_at"),
+        *[(F.col(v) * F.col("_c.sign")).alias(v) for v in values],
     )
-    ends = copies.withColumn(
-        "window_end", F.col("_end") + F.make_dt_interval(secs=F.col("_step") * (slide_us / 1e6))
+    # At most three changes per pane of the block and of one window before it.
+    window = Window.partitionBy(*keys, "_block").orderBy("_at")
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    levels = steps.select(
+        *keys,
+        "_at",
+        F.coalesce(F.lead("_at").over(window), (F.col("_block") + 1) * span).alias("_until"),
+        *[F.sum(v).over(so_far).alias(v) for v in values],
     )
-    summed = ends.groupBy(*keys, "window_end").agg(*[F.sum(n).alias(n) for n in sums])
-    return summed.select(
-        *keys, (F.col("window_end") - interval(size)).alias("window_start"), "window_end", *sums
+    # Of several changes at once only the last has a stretch of windows after it.
+    ends = F.explode(F.sequence(F.col("_at"), F.col("_until") - 1)).alias("_end")
+    spread = levels.where((F.col("_until") > F.col("_at")) & (F.col("_rows") > 0))
+    kind = df.schema[rt].dataType
+    return spread.select(*keys, ends, *sums).select(
+        *keys,
+        F.timestamp_micros(F.col("_end") * slide_us - size_us).cast(kind).alias("window_start"),
+        F.timestamp_micros(F.col("_end") * slide_us).cast(kind).alias("window_end"),
+        *sums,
     )
 
 

@@ -33,7 +33,7 @@ def word_count(spark, sf_dir):
 )
 def flatmap_tokens(spark, sf_dir):
     words = t.explode_tokens(table(spark, sf_dir, "documents"), "text").where("word <> ''")
-    return words.groupBy("word", F.length("word").alias("n_chars")).agg(F.count("*").alias("cnt"))
+    return words.groupBy("word", F.length("word").cast("long").alias("n_chars")).agg(F.count("*").alias("cnt"))
 
 
 @query(
@@ -318,16 +318,12 @@ def running_distinct(spark, sf_dir):
        from events group by user_id""",
 )
 def custom_accumulator(spark, sf_dir):
-    def add(rows):
-        ids = rows["event_id"]
-        return {"n": len(ids), "low": int(ids.min()), "high": int(ids.max())}
-
-    def merge(states):
-        return {
-            "n": int(states["n"].sum()),
-            "low": int(states["low"].min()),
-            "high": int(states["high"].max()),
-        }
+    def add(groups):
+        ids = groups["event_id"]
+        return ids.agg(n="size", low="min", high="max")
+
+    def merge(groups):
+        return groups.agg({"n": "sum", "low": "min", "high": "max"})
 
     return agg.accumulate(
         events(spark, sf_dir).select("user_id", "event_id"),

@@ -251,7 +251,7 @@ def hot_items_topn(spark, sf_dir):
 @query("hot_items_sql", f"select window_end, item, cnt, rank from ({_HOT})")
 def hot_items_sql(spark, sf_dir):
     return spark.sql(
-        """select * from (
+        """select window_end, item, cnt, cast(rank as bigint) as rank from (
              select window_end, item, cnt,
                     row_number() over (partition by window_end order by cnt desc, item) as rank
              from {counts}) where rank <= 3""",

@@ -47,11 +47,11 @@ def test_accumulate_merges_partials(spark):
     rows = events(2)
     df = spark.createDataFrame(rows, COLUMNS).repartition(5)
 
-    def add(pdf):
-        return {"total": int(pdf["v"].sum()), "n": len(pdf)}
+    def add(groups):
+        return groups["v"].agg(total="sum", n="size")
 
-    def merge(states):
-        return {"total": int(states["total"].sum()), "n": int(states["n"].sum())}
+    def merge(groups):
+        return groups.agg({"total": "sum", "n": "sum"})
 
     got = a.accumulate(
         df, ["k"], add, merge, "total long, n long", {"mean": F.col("total") / F.col("n")}
