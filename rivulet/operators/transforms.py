@@ -103,14 +103,8 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     an empty list keeps all. Written as an anti join on equality plus two facts about
     the list, so it shuffles on the key instead of needing a broadcast of the list.
     """
-    facts = other.agg(
-        F.count("*").alias("_n"), F.count(F.when(F.col(other_column).isNull(), 1)).alias("_nulls")
-    )
     values = other.select(F.col(other_column).alias("_value")).distinct()
     left = df.join(values, F.col(column) == F.col("_value"), "left_anti")
-    # ``facts`` is one row by construction.
-    return (
-        left.join(F.broadcast(facts))
-        .where((F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(column).isNotNull()))
-        .drop("_n", "_nulls")
-    )
+    size = other.select(F.count("*")).scalar()
+    nulls = other.select(F.count(F.when(F.col(other_column).isNull(), 1))).scalar()
+    return left.where((size == 0) | ((nulls == 0) & F.col(column).isNotNull()))
