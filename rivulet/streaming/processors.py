@@ -2,8 +2,8 @@
 
 A processor sees the rows of one key of one micro-batch; rows are taken in the order of
 ``seq``. State per key is a few numbers wherever the operator allows it. Event times
-come in as ``ms``, epoch milliseconds. Timers go off in the micro-batch after the watermark
-passed them, once that batch's rows have been handled.
+come in as ``ms``, epoch milliseconds. Spark calls expired timers after a micro-batch's rows;
+a processor whose result depends on it looks at the watermark before each row instead.
 """
 
 from __future__ import annotations
@@ -229,6 +229,11 @@ class RepeatedFailures(Keyed):
 
     def row(self, key, row, timers):
         pending = self.open.get() if self.open.exists() else None
+        if pending is not None and pending[2] <= timers.getCurrentWatermarkInMs():
+            # Due before this row came.
+            self.handle.deleteTimer(pending[2])
+            yield from self._end(key, "timer")
+            pending = None
         if row["ok"]:
             if pending is not None:
                 self.handle.deleteTimer(pending[2])
@@ -257,8 +262,16 @@ class Rising(Keyed):
         self.last = handle.getValueState("last", "v double")
         self.pending = handle.getValueState("pending", "first long, due long")
 
+    def _raise(self, key):
+        first, due = self.pending.get()
+        self.handle.deleteTimer(due)
+        self.pending.clear()
+        yield (*key, first, due)
+
     def row(self, key, row, timers):
         last = self.last.get()[0] if self.last.exists() else self.floor
+        if self.pending.exists() and self.pending.get()[1] <= timers.getCurrentWatermarkInMs():
+            yield from self._raise(key)
         value = float(row[self.value])
         if value > last:
             if not self.pending.exists():
@@ -269,13 +282,10 @@ class Rising(Keyed):
             self.handle.deleteTimer(self.pending.get()[1])
             self.pending.clear()
         self.last.update((value,))
-        return iter(())
 
     def timer(self, key, due):
         if self.pending.exists():
-            first, due = self.pending.get()
-            self.pending.clear()
-            yield (*key, first, due)
+            yield from self._raise(key)
 
 
 class PaymentStatus(Keyed):
@@ -292,8 +302,16 @@ class PaymentStatus(Keyed):
         self.handle = handle
         self.half = handle.getValueState("half", "kind string, ms long, due long")
 
+    def _give_up(self, key):
+        kind, _, due = self.half.get()
+        self.handle.deleteTimer(due)
+        self.half.clear()
+        yield (*key, "pay_timeout" if kind == "create" else "create_missing")
+
     def row(self, key, row, timers):
         kind, ms = row["event_type"], row["ms"]
+        if self.half.exists() and self.half.get()[2] <= timers.getCurrentWatermarkInMs():
+            yield from self._give_up(key)
         half = self.half.get() if self.half.exists() else None
         if half is None or half[0] == kind:
             if half is not None:
@@ -309,9 +327,7 @@ class PaymentStatus(Keyed):
 
     def timer(self, key, due):
         if self.half.exists():
-            kind = self.half.get()[0]
-            self.half.clear()
-            yield (*key, "pay_timeout" if kind == "create" else "create_missing")
+            yield from self._give_up(key)
 
 
 class After(Keyed):

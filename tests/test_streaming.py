@@ -1,6 +1,7 @@
 """Streams fed one file per micro-batch give what the batch operators give."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,7 +176,9 @@ def test_daily_limit_stream(spark, feed):
 
 
 def test_repeated_failures_stream(spark, feed):
-    data = [("a", 0, 0, 0), ("a", 1, 1, 0), ("a", 2, 5, 0), ("a", 3, 6, 0), ("a", 4, 6, 1), ("b", 5, 9, 0)]
+    # Times start above zero: a stream drops rows at or before the initial watermark.
+    times = [(100, 0), (101, 0), (105, 0), (106, 0), (106, 0), (106, 1), (109, 0)]
+    data = [("a" if i < 6 else "b", i, t, ok) for i, (t, ok) in enumerate(times)]
     stream = timed(feed([*one_by_one(data), [("end", 9, FAR, 1)], [("end", 10, FAR, 1)]], SCHEMA))
     stream = stream.withColumn("ok", F.col("v") == 1)
     schema = "first_seq long, failures long, closed_by string"
@@ -206,7 +209,10 @@ def test_payment_status_stream(spark, feed):
     from rivulet.plans.cases import payment_status
 
     schema = "order_id long, seq long, ts long, event_type string"
-    data = [(1, 0, 0, "create"), (2, 1, 1, "create"), (1, 2, 5, "pay"), (3, 3, 6, "pay"), (4, 4, 7, "pay"), (4, 5, 8, "create")]
+    data = [
+        (1, 0, 10, "create"), (2, 1, 11, "create"), (1, 2, 15, "pay"),
+        (3, 3, 16, "pay"), (4, 4, 17, "pay"), (4, 5, 18, "create"),
+    ]
     stream = timed(feed([data[:3], data[3:], [(9, 8, FAR, "pay")], [(9, 9, FAR, "create")]], schema))
     out_schema = "status string"
     out = p.process(stream, ["order_id"], p.PaymentStatus(900_000), out_schema, "eventTime")
@@ -234,8 +240,13 @@ def test_late_rows_are_routed(spark, feed):
         "main": lambda b, i: kept.extend(r["seq"] for r in b.collect()),
         "late": lambda b, i: late.extend(r["seq"] for r in b.collect()),
     }
-    query = run.start(out, run.fan_out(sinks), str(run.run_folder(spark, "late")))
-    query.awaitTermination()
+    # In processing-time mode a stream goes on without new data, so it is stopped here.
+    folder = run.run_folder(spark, "late")
+    query = run.start(out, run.fan_out(sinks), folder, interval="1 second")
+    deadline = time.monotonic() + 60
+    while len(kept) + len(late) < 4 and time.monotonic() < deadline:
+        time.sleep(0.5)
+    query.stop()
     assert sorted(kept) == [0, 1, 3] and late == [2]
 
 
