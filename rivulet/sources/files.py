@@ -63,18 +63,13 @@ def with_quarantine(
     spark: SparkSession, path: str, schema: str, separator: str = ","
 ) -> dict[str, DataFrame]:
     """Rows that fit the schema, and the lines that do not as ``bad``."""
-    full = f"{schema}, _bad string"
-    df = (
-        spark.read.schema(full)
-        .option("sep", separator)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
-        .csv(path)
+    options = {"sep": separator, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = text_lines(spark, path).select(
+        F.from_csv("value", f"{schema}, _bad string", options).alias("row")
     )
-    return {
-        "rows": _empty_text(df.where("_bad is null").drop("_bad")),
-        "bad": df.where("_bad is not null").select(F.col("_bad").alias("value")),
-    }
+    rows = parsed.where("row._bad is null").select("row.*").drop("_bad")
+    bad = parsed.where("row._bad is not null").select(F.col("row._bad").alias("value"))
+    return {"rows": _empty_text(rows), "bad": bad}
 
 
 def _empty_text(df: DataFrame) -> DataFrame:
