@@ -31,7 +31,9 @@ def topic_lines(spark: SparkSession, servers: str, topic: str, group: str) -> Da
 def table_stream(
     spark: SparkSession, path: str, schema, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A parquet table as a stream of its files."""
+    """A parquet table, a folder or one file, as a stream of its files."""
+    # Spark takes a plain path for a folder; a pattern that matches only it may be a file.
+    path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
