@@ -51,6 +51,7 @@ def running_distinct(
     The first position of each (key, value) comes from a map-side combined ``min``; its
     markers are put among the rows and counted, so no row waits for a set to fill.
     """
+    plan = o.layout(df, keys, [seq], rows_per_chunk)
     marks = df.groupBy(*keys, value).agg(F.min(seq).alias(seq))
     marks = marks.where(F.col(value).isNotNull()).withColumn("_mark", F.lit(0))
     rows = df.withColumn("_mark", F.lit(1))
@@ -60,7 +61,7 @@ def running_distinct(
         keys,
         [seq, "_mark"],
         {name: o.running_count(F.when(F.col("_mark") == 0, 1))},
-        rows_per_chunk=rows_per_chunk,
+        plan=plan,
     )
     return counted.where(F.col("_mark") == 1).drop("_mark")
 
@@ -75,9 +76,12 @@ def approx_distinct(
 def bitmap_distinct(df: DataFrame, groups: Sequence, value: Column, name: str = "uv") -> DataFrame:
     """Distinct count of one-hash bitmap positions per group.
 
-    Two values with the same position count once, as in a bitmap of 2^30 bits.
+    Two values with the same position count once, as in a bitmap of 2^30 bits. Equal
+    values are folded first, so each is hashed once.
     """
-    return df.groupBy(*groups).agg(F.countDistinct(bitmap_offset(value)).alias(name))
+    once = df.groupBy(*groups, value.alias("_value")).agg(F.lit(1).alias("_one")).drop("_one")
+    names = [c for c in once.columns if c != "_value"]
+    return once.groupBy(*names).agg(F.countDistinct(bitmap_offset(F.col("_value"))).alias(name))
 
 
 def accumulate(

@@ -106,13 +106,10 @@ def firings(
         F.lit(None).cast("long").alias(seq), F.count("*").alias("cnt")
     )
     # Rows on time precede the late ones of their window, so a late row sees all of them.
-    late = o.running(
-        accepted.where(F.col("status") == REFIRE),
-        group,
-        [seq],
-        {"_late": o.running_count()},
-        rows_per_chunk=rows_per_chunk,
-    )
+    refires = accepted.where(F.col("status") == REFIRE)
+    coarse = o.layout(df, keys, [seq], rows_per_chunk)
+    plan = o.refine(coarse, refires, group, [seq], rows_per_chunk)
+    late = o.running(refires, group, [seq], {"_late": o.running_count()}, plan=plan)
     on_time = first.select(*[F.col(g).alias(f"_k_{g}") for g in group], F.col("cnt").alias("_on"))
     match = F.lit(True)
     for g in group:

@@ -161,7 +161,7 @@ def match_waiting(
         keys,
         ["_run"],
         {"_long": o.last_seen(long_run, before=True), "_waiting_row": o.previous(F.col("_tail"))},
-        plan=o.layout(summary, keys, ["_run"], rows_per_chunk),
+        plan=o.refine(plan, summary, keys, ["_run"], rows_per_chunk),
     )
     since = F.col("_run") - F.coalesce(F.col("_long"), F.lit(0))
     odd = since % 2 == 1

@@ -28,8 +28,8 @@ CHUNK = "_chunk"
 
 # The sketch tracks this many items; it finds every key above a share of about
 # 3.5 / SKETCH_ITEMS of the rows.
-SKETCH_ITEMS = 10_000
-MAX_HOT_KEYS = 1_000
+SKETCH_ITEMS = 50_000
+MAX_HOT_KEYS = 5_000
 MAX_CHUNKS = 100_000
 MIN_GLOBAL_CHUNKS = 32
 
@@ -103,6 +103,22 @@ def layout(
     return Layout(tuple(keys), tuple(order), tuple(hot), row["low"], span, limit)
 
 
+def refine(
+    coarse: Layout,
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows_per_chunk: int | None = None,
+) -> Layout:
+    """The layout of groups that lie inside the groups of ``coarse``.
+
+    Where no coarse group is hot no finer one is, so ``df`` is measured only if needed.
+    """
+    if not coarse.chunked:
+        return Layout(tuple(keys), tuple(order), rows_per_chunk=coarse.rows_per_chunk)
+    return layout(df, keys, order, rows_per_chunk)
+
+
 @dataclass(frozen=True)
 class Running:
     """One running value: ``kind`` over ``value``; ``before`` leaves out the row itself."""

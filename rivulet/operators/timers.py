@@ -35,7 +35,7 @@ def anchored(
     rt: str,
     wm: str,
     delay: str,
-    rows_per_chunk: int | None = None,
+    plan: o.Layout,
 ) -> DataFrame:
     """Add ``anchor`` (the ``seq`` of the row that opened the row's timer) and ``deadline``
     (when that timer is due, epoch microseconds).
@@ -46,7 +46,6 @@ def anchored(
     found = F.coalesce(F.col(wm), F.lit(NONE_PENDING))
     due = F.unix_micros(F.col(rt).cast("timestamp")) + F.lit(micros(delay))
     rows = df.withColumn("_wm", found).withColumn("_due", F.greatest(due, found + 1))
-    plan = o.layout(df, keys, [seq], rows_per_chunk)
     if not plan.chunked:
         opened = rows.withColumn("_due_in", F.lit(NONE_PENDING)).withColumn(
             "_anchor_in", F.lit(None).cast("long")
@@ -158,6 +157,7 @@ def repeated_failures(
     alarm the number of ``failures``, the ``first_seq`` and what ended it: ``closed_by`` is
     ``success`` or ``timer``.
     """
+    plan = o.layout(df, [key], [seq], rows_per_chunk)
     marked = with_watermark_before(df, rt, seq, bound, rows_per_chunk=rows_per_chunk)
     marked = marked.select(key, rt, seq, "wm_before", success.alias("_ok"))
     segments = o.running(
@@ -165,10 +165,11 @@ def repeated_failures(
         [key],
         [seq],
         {"_segment": o.running_count(F.when(F.col("_ok"), 1), before=True)},
-        rows_per_chunk=rows_per_chunk,
+        plan=plan,
     )
     fails = segments.where(~F.col("_ok")).drop("_ok")
-    timed = anchored(fails, [key, "_segment"], seq, rt, "wm_before", window, rows_per_chunk)
+    fine = o.refine(plan, fails, [key, "_segment"], [seq], rows_per_chunk)
+    timed = anchored(fails, [key, "_segment"], seq, rt, "wm_before", window, fine)
     groups = timed.groupBy(key, "_segment", "anchor").agg(
         F.count("*").alias("failures"), F.max("deadline").alias("_deadline")
     )
@@ -210,9 +211,9 @@ def rising_alarms(
     the alarm is raised and the next rising row starts over. Gives the row that set it
     (``first_seq``) and ``alarm_ts``. A key's first row compares with ``floor``.
     """
+    plan = o.layout(df, [key], [seq], rows_per_chunk)
     marked = with_watermark_before(df, rt, seq, bound, rows_per_chunk=rows_per_chunk)
     marked = marked.select(key, rt, seq, value, "wm_before")
-    plan = o.layout(marked, [key], [seq], rows_per_chunk)
     stepped = o.running(marked, [key], [seq], {"_last": o.previous(F.col(value))}, plan=plan)
     rising = F.coalesce(F.col(value) > F.coalesce(F.col("_last"), F.lit(floor)), F.lit(False))
     segments = o.running(
@@ -223,7 +224,8 @@ def rising_alarms(
         plan=plan,
     )
     rises = segments.where("_rising").select(key, rt, seq, "wm_before", "_segment")
-    timed = anchored(rises, [key, "_segment"], seq, rt, "wm_before", hold, rows_per_chunk)
+    fine = o.refine(plan, rises, [key, "_segment"], [seq], rows_per_chunk)
+    timed = anchored(rises, [key, "_segment"], seq, rt, "wm_before", hold, fine)
     groups = timed.groupBy(key, "_segment", "anchor").agg(
         F.max("deadline").alias("_deadline"),
         F.max(F.when(F.col(seq) == F.col("anchor"), F.col(rt))).alias("_start"),

@@ -103,9 +103,23 @@ def sliding_from_panes(
 
 
 def session(
-    df: DataFrame, keys: Sequence[str], rt: str, gap: str, aggs: Sequence[Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    rt: str,
+    gap: str,
+    aggs: Sequence[Column],
+    seq: str | None = None,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
-    """Aggregates per key and session, rows at most ``gap`` apart. Batch and stream."""
+    """Aggregates per key and session, rows at most ``gap`` apart. Batch and stream.
+
+    A session window orders all rows of a key in one task. With ``seq``, a unique row
+    number, batch frames that have hot keys are computed by :func:`session_split`.
+    """
+    if seq is not None and not df.isStreaming:
+        plan = o.layout(df, keys, [rt, seq], rows_per_chunk)
+        if plan.chunked:
+            return session_split(df, keys, rt, seq, gap, aggs, plan=plan)
     grouped = df.groupBy(*keys, F.session_window(rt, gap).alias("w"))
     return _flatten(grouped.agg(*aggs), keys, aggs)
 
@@ -118,9 +132,10 @@ def session_split(
     gap: str,
     aggs: Sequence[Column],
     rows_per_chunk: int | None = None,
+    plan: o.Layout | None = None,
 ) -> DataFrame:
     """:func:`session` for batch frames whose hot keys must be split over tasks."""
-    plan = o.layout(df, keys, [rt, seq], rows_per_chunk)
+    plan = plan or o.layout(df, keys, [rt, seq], rows_per_chunk)
     stepped = o.running(df, keys, [rt, seq], {"_prev": o.previous(F.col(rt))}, plan=plan)
     opens = F.col("_prev").isNull() | (F.col(rt) > F.col("_prev") + interval(gap))
     numbered = o.running(
@@ -230,6 +245,7 @@ def running_in_window(
     """The value so far inside the row's window, one output per row: what a trigger that
     fires on every element shows."""
     stamped = df.withColumn("window_end", F.window(rt, size)["end"])
-    return o.running(
-        stamped, [*keys, "window_end"], [seq], values, rows_per_chunk=rows_per_chunk
-    )
+    coarse = o.layout(df, keys, [seq], rows_per_chunk)
+    group = [*keys, "window_end"]
+    plan = o.refine(coarse, stamped, group, [seq], rows_per_chunk)
+    return o.running(stamped, group, [seq], values, plan=plan)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregates as agg
@@ -189,16 +189,18 @@ def hot_pages_topn(spark, sf_dir):
 
 
 def daily_limit(
-    df: DataFrame, keys: list[str], rt: str, seq: str, limit: int, rows_per_chunk: int | None = None
+    df: DataFrame, keys: list[str], rt: str, seq: str, limit: int
 ) -> dict[str, DataFrame]:
-    """Per key and UTC day the first ``limit`` rows ``pass``; the next one is an ``alarm``."""
-    daily = df.withColumn("_day", F.to_date(rt))
-    numbered = o.running(
-        daily, [*keys, "_day"], [seq], {"_n": o.running_count()}, rows_per_chunk=rows_per_chunk
-    )
+    """Per key and UTC day the first ``limit`` rows ``pass``; the next one is an ``alarm``.
+
+    No row after these matters, and Spark drops such rows before the shuffle: however hot a
+    key is, a task sends at most ``limit + 1`` of its rows per day.
+    """
+    window = Window.partitionBy(*keys, F.to_date(rt)).orderBy(seq)
+    first = df.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= limit + 1)
     return {
-        "pass": numbered.where(F.col("_n") <= limit).select(*df.columns),
-        "alarm": numbered.where(F.col("_n") == limit + 1).select(*df.columns),
+        "pass": first.where(F.col("_n") <= limit).select(*df.columns),
+        "alarm": first.where(F.col("_n") == limit + 1).select(*df.columns),
     }
 
 

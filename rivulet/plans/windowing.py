@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import functions as F
 
+from rivulet.operators import aggregates as agg
 from rivulet.operators import eventtime, ranking
 from rivulet.operators import ordered as o
 from rivulet.operators import windows as w
@@ -76,7 +74,8 @@ _SESSIONS = """
 
 @query("session_gap", _SESSIONS)
 def session_gap(spark, sf_dir):
-    return w.session(events(spark, sf_dir), ["user_id"], "ts", "6 hours", _count())
+    e = events(spark, sf_dir).select("user_id", "ts", "event_id")
+    return w.session(e, ["user_id"], "ts", "6 hours", _count(), seq="event_id")
 
 
 @query("session_gap_split", _SESSIONS)
@@ -120,26 +119,29 @@ def window_all(spark, sf_dir):
         "count(*) as cnt, min(event_id) as first_id, max(event_id) as last_id"),
 )
 def process_window(spark, sf_dir):
-    def summary(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, low, high = 0, None, None
-        for rows in batches:
-            ids = rows["event_id"]
-            count += len(ids)
-            low = ids.min() if low is None else min(low, ids.min())
-            high = ids.max() if high is None else max(high, ids.max())
-        yield pd.DataFrame(
-            [[*key, count, low, high]],
-            columns=["event_type", "window_start", "window_end", "cnt", "first_id", "last_id"],
-        )
-
-    return w.process_window(
-        events(spark, sf_dir).select("event_type", "event_id", "ts"),
-        ["event_type"],
-        "ts",
-        "1 day",
-        summary,
-        "event_type string, window_start timestamp_ntz, window_end timestamp_ntz, "
+    day = F.window("ts", "1 day")
+    stamped = events(spark, sf_dir).select(
+        "event_type",
+        "event_id",
+        day["start"].alias("window_start"),
+        day["end"].alias("window_end"),
+    )
+
+    # Rows fold into one state per window where they are read, however many they are.
+    def add(groups):
+        return groups["event_id"].agg(cnt="size", first_id="min", last_id="max")
+
+    def merge(groups):
+        return groups.agg({"cnt": "sum", "first_id": "min", "last_id": "max"})
+
+    names = ["cnt", "first_id", "last_id"]
+    return agg.accumulate(
+        stamped,
+        ["event_type", "window_start", "window_end"],
+        add,
+        merge,
         "cnt long, first_id long, last_id long",
+        {n: F.col(n) for n in names},
     )
 
 

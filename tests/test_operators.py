@@ -1,7 +1,9 @@
 """Operators against small sequential models, with and without hot keys."""
 
 import random
+from collections.abc import Iterator
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,8 @@ def test_session_split_equals_session_window(spark, limit):
     expected = w.session(df, ["k"], "rt", "10 seconds", [count]).collect()
     got = w.session_split(df, ["k"], "rt", "seq", "10 seconds", [count], rows_per_chunk=limit)
     assert sorted(got.collect()) == sorted(expected)
+    chosen = w.session(df, ["k"], "rt", "10 seconds", [count], "seq", rows_per_chunk=limit)
+    assert sorted(chosen.collect()) == sorted(expected)
 
 
 @pytest.mark.parametrize("limit", SPLIT)
@@ -112,6 +116,35 @@ def test_over_range_count(spark, limit):
     assert {r["seq"]: r["n"] for r in got} == expected
 
 
+def test_process_window_reads_batches(spark):
+    rows = events(14)
+    df = stream(spark, rows, COLUMNS).select("k", "rt", "v")
+
+    def middle(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        values = sorted(v for batch in batches for v in batch["v"])
+        yield pd.DataFrame([[*key, values[len(values) // 2]]], columns=["k", "s", "e", "mid"])
+
+    got = w.process_window(
+        df, ["k"], "rt", "50 seconds", middle, "k string, s timestamp, e timestamp, mid int"
+    )
+    groups = {}
+    for k, _, ts, v in rows:
+        groups.setdefault((k, ts // 50 * 50), []).append(v)
+    expected = sorted((k, s, sorted(v)[len(v) // 2]) for (k, s), v in groups.items())
+    seconds = got.select("k", F.unix_seconds("s").alias("s"), "mid")
+    assert sorted(tuple(r) for r in seconds.collect()) == expected
+
+
+def test_daily_limit_sends_few_rows(spark):
+    from rivulet.plans.cases import daily_limit
+
+    rows = [("u", i, 1000 + i, 0) for i in range(121)] + [("u", 200 + i, 90_000, 0) for i in range(3)]
+    out = daily_limit(stream(spark, rows, COLUMNS), ["k"], "rt", "seq", 100)
+    assert out["pass"].count() == 103
+    assert [r["seq"] for r in out["alarm"].collect()] == [100]
+    assert "WindowGroupLimit" in out["pass"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_top_n_ties_and_report(spark):
     rows = [("w", "b", 3), ("w", "a", 3), ("w", "c", 5), ("w", "d", 1)]
     df = spark.createDataFrame(rows, "win string, k string, n long")
