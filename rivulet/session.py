@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 ROWS_PER_CHUNK = "spark.rivulet.rowsPerChunk"
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
 
+# Folders of local sessions that name none themselves.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -25,6 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set(STATE_STORE, ROCKSDB)
+    # Of several watermarked inputs the slowest counts.
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     return spark
 
 
@@ -44,9 +49,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="rivulet-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="rivulet-")
+    return _LOCAL_FOLDERS[application]
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

@@ -13,6 +13,20 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
+def to_console(df: DataFrame, label: str = "", rows: int = 20):
+    """Print rows under a label: a batch frame at once, a stream per micro-batch."""
+    if not df.isStreaming:
+        print(label)
+        df.show(rows, truncate=False)
+        return None
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"{label} {batch_id}")
+        batch.show(rows, truncate=False)
+
+    return df.writeStream.foreachBatch(show)
+
+
 def to_topic(df: DataFrame, servers: str, topic: str, value: str = "value"):
     """A writer that sends ``value`` as text to a topic. Needs Spark's Kafka connector."""
     text = df.select(F.col(value).cast("string").alias("value"))

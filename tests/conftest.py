@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(folder))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .getOrCreate()
     )
