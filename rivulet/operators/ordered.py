@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,40 +31,48 @@ CHUNK = "_chunk"
 # 3.5 / SKETCH_ITEMS of the rows.
 SKETCH_ITEMS = 50_000
 MAX_HOT_KEYS = 5_000
-MAX_CHUNKS = 100_000
-MIN_GLOBAL_CHUNKS = 32
+MIN_CHUNKS, MAX_CHUNKS = 32, 10_000
 
 
-def _as_long(df: DataFrame, name: str) -> Column:
-    """The order column as a long that sorts the same way."""
+def _position(df: DataFrame, name: str) -> Column:
+    """The order column as a number that sorts the same way, nulls first.
+
+    Neighbours beyond 2^53 may fall together, which only coarsens the chunks.
+    """
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name).cast("long")
+        value = F.unix_micros(F.col(name).cast("timestamp"))
+    else:
+        value = F.col(name)
+    return F.coalesce(value.cast("double"), F.lit(float("-inf")))
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How the rows of each key are spread over tasks."""
+    """How the rows of each key are spread over tasks.
+
+    Rows of the ``hot`` keys (all rows without keys) are cut at ``splits`` of the first
+    order column, quantiles of those rows, so chunks hold about equally many.
+    """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     hot: tuple[int, ...] = ()
-    low: int = 0
-    span: int = 1
+    splits: tuple[float, ...] = ()
     rows_per_chunk: int = 1
 
     @property
     def chunked(self) -> bool:
-        return bool(self.hot) or not self.keys
+        return bool(self.splits)
 
-    def chunk(self, df: DataFrame) -> Column:
-        """Chunk number: grows with the order; null for rows of ordinary keys."""
-        value = F.coalesce(_as_long(df, self.order[0]), F.lit(self.low))
-        number = F.floor((value - F.lit(self.low)) / F.lit(self.span)).cast("long")
-        if not self.keys:
-            return number
-        return F.when(F.xxhash64(*self.keys).isin(list(self.hot)), number)
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the chunk number: it grows with the order and is null for ordinary keys."""
+        cut = Bucketizer(splits=list(self.splits), inputCol="_position", outputCol="_bucket")
+        rows = cut.transform(df.withColumn("_position", _position(df, self.order[0])))
+        number = F.col("_bucket").cast("long")
+        if self.keys:
+            number = F.when(F.xxhash64(*self.keys).isin(list(self.hot)), number)
+        return rows.withColumn(CHUNK, number).drop("_position", "_bucket")
 
 
 def layout(
@@ -72,35 +81,30 @@ def layout(
     order: Sequence[str],
     rows_per_chunk: int | None = None,
 ) -> Layout:
-    """Measure ``df`` (one scan of key and order columns, no shuffle) and lay it out.
+    """Measure ``df`` and lay it out: one scan of the key columns, no shuffle.
 
+    Only if there are hot keys their order column is read too, for its quantiles.
     With no keys the whole table is one group, so it is always chunked.
     """
     limit = rows_per_chunk or default_rows_per_chunk(df.sparkSession)
-    value = _as_long(df, order[0])
-    stats = [F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")]
+    plain = Layout(tuple(keys), tuple(order), rows_per_chunk=limit)
+    hot: list[int] = []
     if keys:
-        hashed = df.select(F.xxhash64(*keys).alias("_h"), value.alias("_v"))
-        row = hashed.agg(
-            F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-            F.count("*").alias("n"),
-            F.min("_v").alias("low"),
-            F.max("_v").alias("high"),
-        ).first()
-        hot = {r["item"]: r["count"] for r in (row["top"] or []) if r["count"] > limit}
-        largest = max(hot.values(), default=0)
+        sketch = F.expr(f"approx_top_k(_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
+        top = df.select(F.xxhash64(*keys).alias("_h")).agg(sketch).first()["top"] or []
+        sizes = {r["item"]: r["count"] for r in top if r["count"] > limit}
+        if not sizes:
+            return plain
+        hot, rows = list(sizes), sum(sizes.values())
+        measured = df.where(F.xxhash64(*keys).isin(hot))
     else:
-        row = df.agg(*stats).first()
-        hot, largest = {}, row["n"]
-    if row["n"] == 0 or row["low"] is None or (keys and not hot):
-        return Layout(tuple(keys), tuple(order), rows_per_chunk=limit)
-    # Four times finer than even spacing needs, for order values that bunch up.
-    wanted = 4 * -(-largest // limit)
-    if not keys:
-        wanted = max(wanted, MIN_GLOBAL_CHUNKS)
-    width = row["high"] - row["low"] + 1
-    span = max(1, -(-width // min(wanted, MAX_CHUNKS)))
-    return Layout(tuple(keys), tuple(order), tuple(hot), row["low"], span, limit)
+        rows, measured = df.count(), df
+    chunks = min(max(-(-rows // limit), MIN_CHUNKS), MAX_CHUNKS)
+    shares = [i / chunks for i in range(1, chunks)]
+    positions = measured.select(_position(df, order[0]).alias("_v")).where("_v > -1e300")
+    cuts = positions.approxQuantile("_v", shares, 0.25 / chunks) if rows else []
+    splits = (float("-inf"), *sorted(set(cuts)), float("inf"))
+    return Layout(tuple(keys), tuple(order), tuple(hot), splits, limit)
 
 
 def refine(
@@ -246,7 +250,7 @@ def running(
             "*", *[_finish(r, _local(r, window)).alias(n) for n, r in values.items()]
         )
 
-    tagged = df.withColumn(CHUNK, plan.chunk(df))
+    tagged = plan.tag(df)
     window = Window.partitionBy(*keys, CHUNK).orderBy(*direction)
     local = tagged.select(
         "*", *[_local(r, window).alias(f"_local_{n}") for n, r in values.items()]

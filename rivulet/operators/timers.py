@@ -52,7 +52,7 @@ def anchored(
         )
         return _walk(opened, keys, seq).drop("_wm", "_due", "_due_in", "_anchor_in")
 
-    rows = rows.withColumn(o.CHUNK, plan.chunk(df))
+    rows = plan.tag(rows)
     entries = _entries(rows.where(F.col(o.CHUNK).isNotNull()), keys, seq)
     match = F.col(o.CHUNK) == F.col("_key_chunk")
     for k in keys:
