@@ -102,8 +102,8 @@ def layout(
     chunks = min(max(-(-rows // limit), MIN_CHUNKS), MAX_CHUNKS)
     shares = [i / chunks for i in range(1, chunks)]
     positions = measured.select(_position(df, order[0]).alias("_v")).where("_v > -1e300")
-    cuts = positions.approxQuantile("_v", shares, 0.25 / chunks) if rows else []
-    splits = (float("-inf"), *sorted(set(cuts)), float("inf"))
+    cuts = positions.agg(F.percentile_approx("_v", shares, 4 * chunks).alias("cuts")).first()
+    splits = (float("-inf"), *sorted(set(cuts["cuts"] or [])), float("inf"))
     return Layout(tuple(keys), tuple(order), tuple(hot), splits, limit)
 
 

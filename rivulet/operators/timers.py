@@ -167,33 +167,38 @@ def repeated_failures(
         {"_segment": o.running_count(F.when(F.col("_ok"), 1), before=True)},
         plan=plan,
     )
-    fails = segments.where(~F.col("_ok")).drop("_ok")
+    fails = _until(segments, key, seq, F.col("_ok"), plan).where(~F.col("_ok")).drop("_ok")
     fine = o.refine(plan, fails, [key, "_segment"], [seq], rows_per_chunk)
     timed = anchored(fails, [key, "_segment"], seq, rt, "wm_before", window, fine)
     groups = timed.groupBy(key, "_segment", "anchor").agg(
-        F.count("*").alias("failures"), F.max("deadline").alias("_deadline")
-    )
-    # A segment's success ends its last group, if the timer was not due before.
-    ends = segments.where("_ok").select(
-        key, F.col("_segment"), F.col("wm_before").alias("_end_wm"), F.lit(True).alias("_ended")
-    )
-    latest = timed.groupBy(key, "_segment").agg(F.max("anchor").alias("_latest"))
-    joined = groups.where(F.col("failures") >= least).join(latest, [key, "_segment"]).join(
-        ends, [key, "_segment"], "left"
-    )
-    by_success = (
-        (F.col("anchor") == F.col("_latest"))
-        & F.col("_ended").isNotNull()
-        & (F.coalesce(F.col("_end_wm"), F.lit(NONE_PENDING)) < F.col("_deadline"))
+        F.count("*").alias("failures"),
+        F.max("deadline").alias("_deadline"),
+        F.max("_end_wm").alias("_end_wm"),
     )
-    return joined.select(
+    return groups.where(F.col("failures") >= least).select(
         key,
         F.col("anchor").alias("first_seq"),
         "failures",
-        F.when(by_success, "success").otherwise("timer").alias("closed_by"),
+        F.when(_ended_first(), "success").otherwise("timer").alias("closed_by"),
     )
 
 
+def _until(df: DataFrame, key: str, seq: str, ends: Column, plan: o.Layout) -> DataFrame:
+    """Add ``_end_wm``: the watermark found by the next row that ``ends`` a segment."""
+    found = F.when(ends, F.coalesce(F.col("wm_before"), F.lit(NONE_PENDING)))
+    step = {"_end_wm": o.last_seen(found, before=True)}
+    return o.running(df, [key], [seq], step, reverse=True, plan=plan)
+
+
+def _ended_first() -> Column:
+    """The segment ended while the group's timer was pending.
+
+    The watermark only grows: a timer after which another one was opened was due then, and
+    so before the segment's end. This can hold for a segment's last group only.
+    """
+    return F.coalesce(F.col("_end_wm") < F.col("_deadline"), F.lit(False))
+
+
 def rising_alarms(
     df: DataFrame,
     key: str,
@@ -223,24 +228,15 @@ def rising_alarms(
         {"_segment": o.running_count(F.when(~F.col("_rising"), 1))},
         plan=plan,
     )
-    rises = segments.where("_rising").select(key, rt, seq, "wm_before", "_segment")
+    rises = _until(segments, key, seq, ~F.col("_rising"), plan).where("_rising")
+    rises = rises.select(key, rt, seq, "wm_before", "_segment", "_end_wm")
     fine = o.refine(plan, rises, [key, "_segment"], [seq], rows_per_chunk)
     timed = anchored(rises, [key, "_segment"], seq, rt, "wm_before", hold, fine)
     groups = timed.groupBy(key, "_segment", "anchor").agg(
         F.max("deadline").alias("_deadline"),
+        F.max("_end_wm").alias("_end_wm"),
         F.max(F.when(F.col(seq) == F.col("anchor"), F.col(rt))).alias("_start"),
     )
-    latest = timed.groupBy(key, "_segment").agg(F.max("anchor").alias("_latest"))
-    cancels = segments.where(~F.col("_rising")).select(
-        key, (F.col("_segment") - 1).alias("_segment"), F.col("wm_before").alias("_cancel_wm"),
-        F.lit(True).alias("_cancelled"),
-    )
-    joined = groups.join(latest, [key, "_segment"]).join(cancels, [key, "_segment"], "left")
-    cancelled = (
-        (F.col("anchor") == F.col("_latest"))
-        & F.col("_cancelled").isNotNull()
-        & (F.coalesce(F.col("_cancel_wm"), F.lit(NONE_PENDING)) < F.col("_deadline"))
-    )
-    return joined.where(~cancelled).select(
+    return groups.where(~_ended_first()).select(
         key, F.col("anchor").alias("first_seq"), (F.col("_start") + interval(hold)).alias("alarm_ts")
     )
