@@ -86,6 +86,8 @@ def layout(
     Only if there are hot keys their order column is read too, for its quantiles.
     With no keys the whole table is one group, so it is always chunked.
     """
+    if df.isStreaming:
+        raise ValueError("running values need a batch frame; see rivulet.streaming.processors")
     limit = rows_per_chunk or default_rows_per_chunk(df.sparkSession)
     plain = Layout(tuple(keys), tuple(order), rows_per_chunk=limit)
     hot: list[int] = []

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.time import epoch_micros, floor_div, interval, micros
 from rivulet.operators import ordered as o
@@ -55,6 +56,12 @@ def sliding_from_panes(
     size_us, slide_us = micros(size), micros(slide)
     if size_us % slide_us:
         raise ValueError("the slide must divide the window size")
+    for field in df.select(*[v.alias(n) for n, v in sums.items()]).schema.fields:
+        if isinstance(field.dataType, T.FractionalType) and not isinstance(
+            field.dataType, T.DecimalType
+        ):
+            # Adding and taking away again is exact for whole numbers and decimals only.
+            raise ValueError(f"{field.name}: use sliding for floating-point sums")
     panes = size_us // slide_us
     span = 16 * panes
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.session import run_folder, stream_options
 
@@ -44,7 +45,7 @@ def collect_stream(
     folder = run_folder(spark, name)
     query = start(df, parquet_log(f"{folder}/out"), f"{folder}/checkpoint", output_mode)
     query.awaitTermination()
-    schema = df.schema.add("batch", "long")
+    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
     return spark.read.schema(schema).option("basePath", f"{folder}/out").parquet(f"{folder}/out")
 
 

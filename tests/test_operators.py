@@ -94,6 +94,20 @@ def test_panes_equal_row_expansion(spark):
     assert sorted(direct.collect()) == sorted(panes.collect())
 
 
+def test_panes_refuse_floating_point_and_uneven_slides(spark):
+    df = stream(spark, events(4), COLUMNS)
+    with pytest.raises(ValueError):
+        w.sliding_from_panes(df, ["k"], "rt", "60 seconds", "5 seconds", {"x": F.col("v") / 2})
+    with pytest.raises(ValueError):
+        w.sliding_from_panes(df, ["k"], "rt", "60 seconds", "7 seconds", {"x": F.col("v")})
+
+
+def test_running_values_refuse_streams(spark):
+    rate = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError):
+        o.running(rate, ["value"], ["timestamp"], {"n": o.running_count()})
+
+
 @pytest.mark.parametrize("limit", SPLIT)
 def test_session_split_equals_session_window(spark, limit):
     rng = random.Random(5)
