@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -13,10 +15,35 @@ DEFAULT_ROWS_PER_CHUNK = 2_000_000
 # Folders of local sessions that name none themselves.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
+# Applications that have the library on their executors.
+_SHIPPED: set[str] = set()
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def ship(spark: SparkSession) -> None:
+    """Put the library on the executors' path, once per application.
+
+    Functions that run there refer to its modules, so it must not depend on what happens
+    to be installed on the executors. Spark distributes the archive.
+    """
+    application = spark.sparkContext.applicationId
+    root = os.path.dirname(os.path.abspath(__file__))
+    if application in _SHIPPED or not os.path.isdir(root):
+        return
+    name = os.path.basename(root)
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.join(name, os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library relies on to a given session.
 
@@ -30,6 +57,7 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set(STATE_STORE, ROCKSDB)
     # Of several watermarked inputs the slowest counts.
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    ship(spark)
     return spark
 
 
