@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, exact, lines, mixing
+from rivulet.llm import chat, exact, lines, mixing, ngram, packing
 from rivulet.llm.common import table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", mixing.word_count().alias("size"), "source_size", "target", "copies").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
