@@ -18,7 +18,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SPACE_BYTES, text_of
+from rivulet.llm.common import SPACE_BYTES, text_of, written
 
 
 def lower_ascii(text: Column) -> Column:
@@ -51,11 +51,13 @@ def dropped_lines(docs: DataFrame, threshold: int = 2, min_chars: int = 10) -> D
         many = F.min("doc_id") < F.max("doc_id")
     else:
         many = F.count_distinct("doc_id") >= threshold
-    common = (
+    # Written, so that the join sees two plain shuffles and can split a common line.
+    common = written(
         hashed.groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("first_id"), many.alias("many"))
         .where("many")
-        .drop("many")
+        .drop("many"),
+        "lines-common",
     )
     return (
         hashed.join(common, ["h1", "h2"])
