@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, exact, lines, mixing, ngram, packing, toxicity
+from rivulet.llm import chat, exact, langid, lines, mixing, ngram, packing, toxicity
 from rivulet.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.decide(toxicity.score(docs, model), model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "threshold", "toxic")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
