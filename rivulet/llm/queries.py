@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, exact, langid, lines, mixing, ngram, packing, toxicity
+from rivulet.llm import chat, exact, hnsw, langid, lines, mixing, ngram, packing, toxicity
 from rivulet.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.train(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_embedding_dedup")
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
