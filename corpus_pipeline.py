@@ -1,29 +1,64 @@
-"""Documents through the training-data operators, stage by stage."""
+"""Documents through the training-data operators, stage by stage.
+
+Each stage takes the session, its predecessor's rows and the folder of the tables, and
+returns a frame; all but the last return the columns they were given. Run writes every
+stage's rows to the shared folder and reads them again for the next, so that a lost
+executor costs tasks of one stage only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.llm import lines, mixing
+from rivulet.llm import lines, mixing, ngram, packing, toxicity
 from rivulet.llm.common import table, written
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.line_dedup(docs).select(*docs.columns)
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier does not reject; it learns from labels of these rows."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, without lines that an earlier document has; n_chars follows the text."""
+    cut = lines.line_dedup(docs)
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
+    return cut.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: that of the smallest id."""
+    return ngram.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as the mix takes it."""
     return mixing.repeated(mixing.mix(docs))
 
 
-STAGES = [("line dedup", line_dedup), ("mixing", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack_documents(spark, docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 
+# A trained classifier and token ids are beyond SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each one's rows are written and read again by the next."""
+    """All stages in order over the documents; the packed pieces."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs
