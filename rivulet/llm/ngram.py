@@ -15,8 +15,8 @@ that can follow have to reach the overlap that the similarity asks for.
 
 Where a document has too few other shingles (a member of a large group of near copies),
 its costly shingles are looked up too, among such documents. Their lists are not paired
-in full: neighbours in the order of size are verified, then what is still in different
-components, so that a group of thousands costs a few links a member. Likewise a document
+in full: their most typical members are verified with all, then what is still in different
+components and can be similar, so that a group of thousands costs a few links a member. Likewise a document
 is first verified against its best candidate, and other candidates only as long as the
 two are in different components. Links inside a component cannot change it.
 
@@ -49,10 +49,15 @@ COSTLY = 32
 MAX_COSTLY = 1 << 20
 FILTER_BITS = 1 << 23
 FLUSH = 1_000_000
+HALF = 1 << 31
 
+# Of a costly list, this many of its most typical documents lead it.
+LEADERS = 3
 LISTED = 2
+# Bits of a set's sketch, in 64-bit words.
+SKETCH = [f"sketch{i}" for i in range(16)]
 
-POSTING = "token long, k long, n int, pos int, costly boolean"
+POSTING = "token long, size_place long, k long"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -153,41 +158,43 @@ def documents_sets(docs: DataFrame) -> DataFrame:
 
 
 def postings(docs: DataFrame, costly: np.ndarray) -> DataFrame:
-    """The looked-up shingles of each document's lengthened prefix."""
+    """The looked-up shingles of each document's lengthened prefix.
+
+    ``size_place`` has the set's size in its upper half and in the lower half the place in
+    the prefix or, for a costly shingle, minus the number of the document's costly ones.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(costly)
 
     def run(batches):
         dear = sent.value
         for _, sets in _sets(batches):
-            tokens, keys, sizes, places, flags = [], [], [], [], []
+            tokens, keys, places = [], [], []
             for s in sets:
                 n = len(s)
                 if not n:
                     continue
                 p = prefix_length(n)
+                place = np.arange(p)
                 if len(dear):
                     at = np.searchsorted(dear, s)
                     at[at == len(dear)] = 0
                     hit = dear[at] == s
                     cheap = s[~hit][:p]
                     late = s[hit][: p - len(cheap)]
+                    place[len(cheap) :] = -int(hit.sum())
+                    tokens += [cheap, late]
                 else:
-                    cheap, late = s[:p], s[:0]
-                tokens += [cheap, late]
+                    tokens.append(s[:p])
                 keys.append(np.full(p, set_key(s)[0]))
-                sizes.append(np.full(p, n, np.int32))
-                places.append(np.arange(p, dtype=np.int32))
-                flags.append(np.arange(p) >= len(cheap))
+                places.append((n << 32) + place + HALF)
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(tokens).view(np.int64)),
-                        pa.array(np.concatenate(keys)),
-                        pa.array(np.concatenate(sizes)),
                         pa.array(np.concatenate(places)),
-                        pa.array(np.concatenate(flags)),
+                        pa.array(np.concatenate(keys)),
                     ],
-                    ["token", "k", "n", "pos", "costly"],
+                    ["token", "size_place", "k"],
                 )
 
     return docs.mapInArrow(run, POSTING)
@@ -233,26 +240,40 @@ PAIRS = ", ".join(f"{c} long" for c in _Pairs.NAMES)
 
 
 def _runs(batches, columns: list[str]) -> Iterator[np.ndarray]:
-    """Rows of whole tokens: a token's rows never lie in two results."""
+    """Rows of whole tokens: a token's rows never lie in two results.
+
+    The first columns are the token, size_place and the document; the result has token,
+    document, size, place, and the other columns. Equal documents come once.
+    """
+
+    def ready(rows: np.ndarray) -> np.ndarray:
+        rows = rows[np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))]
+        size, place = rows[:, 1] >> 32, (rows[:, 1] & 0xFFFFFFFF) - HALF
+        return np.column_stack([rows[:, 0], rows[:, 2], size, place, rows[:, 3:]])
+
     rest = np.zeros((0, len(columns)), np.int64)
     for batch in batches:
-        rows = np.stack(
-            [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns],
-            axis=1,
-        )
+        rows = np.stack([batch.column(c).to_numpy() for c in columns], axis=1)
         if not len(rows):
             continue
         rest = np.concatenate([rest, rows])
         cut = int(np.searchsorted(rest[:, 0], rest[-1, 0], side="left"))
         if cut:
-            yield rest[:cut]
+            yield ready(rest[:cut])
             rest = rest[cut:]
     if len(rest):
-        yield rest
+        yield ready(rest)
 
 
-def _all_pairs(rows: np.ndarray, apart: int | None, pairs: _Pairs) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows of one token whose sizes fit; ``apart``: a column that must differ.
+def _lists(rows: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows of each token."""
+    if len(rows):
+        cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+        yield from (part for part in np.split(rows, cuts) if len(part) > 1)
+
+
+def _all_pairs(rows: np.ndarray, pairs: _Pairs) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of one token whose sizes fit.
 
     Rows are sorted by token and size, so that the k-th next rows are compared at once.
     """
@@ -263,69 +284,124 @@ def _all_pairs(rows: np.ndarray, apart: int | None, pairs: _Pairs) -> Iterator[p
         near, far = rows[live], rows[live + step]
         fits = (near[:, 0] == far[:, 0]) & (NUM * far[:, 2] <= DEN * near[:, 2])
         live, near, far = live[fits], near[fits], far[fits]
-        if apart is not None:
-            differ = near[:, apart] != far[:, apart]
-            near, far = near[differ], far[differ]
         if len(near):
-            pairs.add(near[:, 1:4], far[:, 1:4], 0 if apart is None else 1)
+            pairs.add(near[:, 1:4], far[:, 1:4], 0)
             if pairs.held > FLUSH:
                 yield pairs.flush()
         step += 1
 
 
+def _may_link(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Whether documents of a costly list can be similar without a cheap shingle in common.
+
+    All cheap shingles of such documents were looked up, so what else they share are costly
+    ones: no more than the one with fewer of them has.
+    """
+    fewer = np.minimum(-one[3], -many[:, 3])
+    return fewer >= need(one[2], many[:, 2])
+
+
 def candidates(sorted_postings: DataFrame) -> DataFrame:
-    """Pairs of documents that share a cheap shingle, neighbours among costly ones.
+    """Pairs of documents that share a cheap shingle, with leaders of costly lists.
 
-    The postings of costly shingles come too: ``chained`` is LISTED, the shingle is in a,
-    the document in b, its size in na, the position in pa.
+    Leaders are the documents with the largest share of costly shingles: the original of a
+    group of near copies rather than one of the copies, which differ more from each other.
+    A list has leaders for each band of sizes. The postings of costly shingles come too:
+    ``chained`` is LISTED, the shingle is in a, the document in b, its size in na, its
+    place in pa.
     """
 
     def run(batches):
         pairs = _Pairs()
-        for rows in _runs(batches, ["token", "k", "n", "pos", "costly"]):
-            rows = rows[np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))]
-            dear = rows[:, 4] == 1
-            yield from _all_pairs(rows[~dear], None, pairs)
-            chain = rows[dear]
-            if len(chain):
-                none = np.zeros(len(chain), np.int64)
-                columns = [chain[:, 0], chain[:, 1], chain[:, 2], none, none, chain[:, 3], none]
+        for rows in _runs(batches, ["token", "size_place", "k"]):
+            dear = rows[:, 3] < 0
+            yield from _all_pairs(rows[~dear], pairs)
+            listed = rows[dear]
+            if len(listed):
+                none = np.zeros(len(listed), np.int64)
+                columns = [listed[:, 0], listed[:, 1], listed[:, 2], none, none, listed[:, 3], none]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in [*columns, none + LISTED]], _Pairs.NAMES
                 )
-            if len(chain) > 1:
-                # The next in size, and the last leader: a row too large for it leads next.
-                same = chain[1:, 0] == chain[:-1, 0]
-                fits = same & (NUM * chain[1:, 2] <= DEN * chain[:-1, 2])
-                pairs.add(chain[:-1][fits][:, 1:4], chain[1:][fits][:, 1:4], 1)
-                lead, leaders = 0, np.zeros(len(chain), int)
-                token, size = chain[:, 0].tolist(), chain[:, 2].tolist()
-                for i in range(len(chain)):
-                    if token[i] != token[lead] or NUM * size[i] > DEN * size[lead]:
-                        lead = i
-                    leaders[i] = lead
-                led = leaders != np.arange(len(chain))
-                pairs.add(chain[leaders[led]][:, 1:4], chain[led][:, 1:4], 1)
-            if pairs.held > FLUSH:
-                yield pairs.flush()
+            for mine in _lists(listed):
+                at = 0
+                while at < len(mine):
+                    end = int(np.searchsorted(NUM * mine[:, 2], DEN * mine[at, 2], side="right"))
+                    band = mine[at:end]
+                    share = -band[:, 3] / band[:, 2]
+                    for lead in np.lexsort((band[:, 1], -share))[:LEADERS]:
+                        others = band[_may_link(band[lead], band)]
+                        others = others[others[:, 1] != band[lead, 1]]
+                        pairs.add(np.repeat(band[lead : lead + 1, 1:4], len(others), axis=0), others[:, 1:4], 1)
+                    at = end
+                if pairs.held > FLUSH:
+                    yield pairs.flush()
         if (last := pairs.flush()) is not None:
             yield last
 
     return sorted_postings.mapInArrow(run, PAIRS)
 
 
-def _across(sorted_postings: DataFrame) -> DataFrame:
-    """All pairs of different components that share a costly shingle."""
+def sketch(s: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, by its hash; shingles may share bits."""
+    bits = np.zeros(len(SKETCH), np.uint64)
+    at = (s & np.uint64(64 * len(SKETCH) - 1)).astype(np.int64)
+    np.bitwise_or.at(bits, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    return bits.view(np.int64)
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch, sets in _sets(batches):
+            bits = np.stack([sketch(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *[pa.array(c) for c in bits.T]], ["k", *SKETCH]
+            )
+
+    return texts.mapInArrow(run, "k long, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
+def _sketches_fit(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Whether sketches leave room for enough shared shingles.
+
+    A bit that only one of two sets has is at least one shingle the other lacks.
+    """
+    a, b = one[5:], many[:, 5:]
+    most = np.minimum(
+        one[2] - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+        many[:, 2] - np.bitwise_count(~a & b).sum(axis=1, dtype=np.int64),
+    )
+    return most >= need(one[2], many[:, 2])
+
+
+def _across(sorted_lists: DataFrame) -> DataFrame:
+    """Pairs of different components that share a costly shingle and may link.
+
+    Of two documents one is not in the list's largest component. Pairs whose sizes, costly
+    shingles or sketches rule a link out do not leave the task.
+    """
 
     def run(batches):
         pairs = _Pairs()
-        for rows in _runs(batches, ["token", "k", "n", "pos", "component"]):
-            rows = rows[np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))]
-            yield from _all_pairs(rows, 4, pairs)
+        for rows in _runs(batches, ["token", "size_place", "k", "component", *SKETCH]):
+            for mine in _lists(rows):
+                found, of, sizes = np.unique(mine[:, 4], return_inverse=True, return_counts=True)
+                small = of != sizes.argmax()
+                for i in np.flatnonzero(small) if len(found) > 1 else ():
+                    low = np.searchsorted(DEN * mine[:, 2], NUM * mine[i, 2], side="left")
+                    high = np.searchsorted(NUM * mine[:, 2], DEN * mine[i, 2], side="right")
+                    place = np.arange(low, high)
+                    place = place[(of[place] != of[i]) & ((place > i) | ~small[place])]
+                    others = mine[place][_may_link(mine[i], mine[place])]
+                    others = others[_sketches_fit(mine[i], others)]
+                    if len(others):
+                        pairs.add(np.repeat(mine[i : i + 1, 1:4], len(others), axis=0), others[:, 1:4], 1)
+                    if pairs.held > FLUSH:
+                        yield pairs.flush()
         if (last := pairs.flush()) is not None:
             yield last
 
-    return sorted_postings.mapInArrow(run, PAIRS)
+    return sorted_lists.mapInArrow(run, PAIRS)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -388,7 +464,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # Shuffled once and sorted: tokens meet, long lists are read as streams.
     listed = postings(texts, costly).repartition("token").sortWithinPartitions(
-        "token", "n", "k", "pos"
+        "token", "size_place", "k"
     )
     found = written(candidates(listed), "ngram-candidates")
     fits = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
@@ -428,7 +504,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         )
         known = classes.where("rep is not null").select("k", F.col("n").cast("long").alias("n"), "rep")
         lists = written(
-            again.join(known, ["k", "n"]).select("token", F.col("rep").alias("k"), "n", "pos").distinct(),
+            again.join(known, ["k", "n"])
+            .select("token", F.expr(f"shiftleft(n, 32) + pos + {HALF}L").alias("size_place"), F.col("rep").alias("k"))
+            .distinct(),
             "ngram-lists",
         )
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
@@ -455,8 +533,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     apart = component(component(pairs.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb")
     second = apart.select("a", "b")
     if lists is not None:
-        marked = component(lists, "k", "component")
-        across = _across(marked.repartition("token").sortWithinPartitions("token", "n", "k"))
+        known = held.join(lists.select(F.col("k").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        marked = component(lists, "k", "component").join(_sketches(known), "k")
+        across = _across(
+            marked.repartition("token").sortWithinPartitions("token", "size_place", "k")
+        )
         second = second.unionByName(across.select("a", "b"))
     second = written(second.distinct().join(first, ["a", "b"], "left_anti"), "ngram-second")
     links = links.unionByName(written(verified(second, held), "ngram-links2"))
