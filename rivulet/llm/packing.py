@@ -38,7 +38,7 @@ CAPACITY = 4096
 END_ID = 1
 GRAIN = 4
 ROUNDS = 400
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 PART = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -56,6 +56,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _plain(self, words: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -78,21 +79,32 @@ class Encoder:
                 out += self._plain(some)
         return out
 
+    def _recall(self, words: set[bytes]) -> set[bytes]:
+        """Take words over from the older half of what is known; gives the others."""
+        missing = words.difference(self.known)
+        new = missing.difference(self.older)
+        again = missing - new
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        return new
+
     def learn(self, words: set[bytes]) -> None:
+        """Make all these words known. Words not seen for long are forgotten."""
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        new = words - self.known.keys()
+            self.known, self.older = {}, self.known
+        new = self._recall(words)
         # A word's last full stop or comma after a letter is a unit of its own.
-        tails = {w: w[:-1] for w in new if w[-1] in b".,;:!?" and w[-2:-1].isalpha()}
-        cores = (new - tails.keys()) | set(tails.values()) | {w[-1:] for w in tails}
-        cores -= self.known.keys()
-        letters, other = [], []
-        for w in cores:
-            s = w.decode()
-            (letters if s.isalpha() else other).append(s)
-        for group, ids in ((letters, self._letters(letters)), (other, self._plain(other))):
-            self.known.update(zip([s.encode() for s in group], ids, strict=True))
-        self.known.update({w: self.known[core] + self.known[w[-1:]] for w, core in tails.items()})
+        tails = [w for w in new if w[-1] in b".,;:!?" and w[-2:-1].isalpha()]
+        cores = new.difference(tails)
+        cores.update([w[:-1] for w in tails], [w[-1:] for w in tails])
+        cores = list(self._recall(cores))
+        texts = [w.decode() for w in cores]
+        letters = [i for i, s in enumerate(texts) if s.isalpha()]
+        other = [i for i, s in enumerate(texts) if not s.isalpha()]
+        for at, encode in ((letters, self._letters), (other, self._plain)):
+            ids = encode([texts[i] for i in at])
+            self.known.update(zip([cores[i] for i in at], ids, strict=True))
+        known = self.known
+        known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in tails])
 
     def encode(self, parts: list[bytes]) -> list[bytes]:
         """Ids of each part; parts are cut at white space."""
@@ -103,10 +115,7 @@ class Encoder:
                 part = part.lower()
             split.append(part.split())
         words = set().union(*split)
-        if words - self.known.keys():
-            self.learn(words)
-            if not words <= self.known.keys():  # forgotten in between
-                self.learn(words)
+        self.learn(words)
         return [b"".join(map(self.known.__getitem__, s)) for s in split]
 
 
