@@ -23,9 +23,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import WORD, text_of
+from rivulet.llm.common import WORD, text_of, written
 
 SLOTS = 1 << 16
+BROADCAST_BYTES = 16 << 20
+SALTS = 64
 
 
 def word_count(column: str = "text") -> Column:
@@ -104,15 +106,30 @@ def plan(
     )
 
 
-def mix(docs: DataFrame, seed: str = "mix", **settings) -> DataFrame:
-    """The rows with source_size, target and copies (how often the mix takes them)."""
-    planned = plan(docs, seed=seed, **settings).select(
+def mix(
+    docs: DataFrame, seed: str = "mix", broadcast_bytes: int = BROADCAST_BYTES, **settings
+) -> DataFrame:
+    """The rows with source_size, target and copies (how often the mix takes them).
+
+    The plan has a row per source. Up to ``broadcast_bytes`` it goes to the documents, which
+    then need no shuffle; a larger one is joined by source and salt, so that a source with
+    a third of all documents is many tasks.
+    """
+    planned = written(plan(docs, seed=seed, **settings), "mixing-plan").select(
         F.col("source").alias("_source"), "source_size", "target", "whole", "last_slot"
     )
+    size = planned.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length("_source"), F.lit(0)))).first()[0]
     names = [c for c in docs.columns if c not in ("source_size", "target", "copies")]
-    joined = docs.select(*names).join(
-        planned, F.col("source").eqNullSafe(F.col("_source")), "left"
-    )
+    on = F.col("source").eqNullSafe(F.col("_source"))
+    rows = docs.select(*names)
+    if (size or 0) <= broadcast_bytes:
+        joined = rows.join(F.broadcast(planned), on, "left")
+    else:
+        salted = planned.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+        joined = rows.withColumn("_salt", salt).join(
+            salted, on & (F.col("_salt") == F.col("_to")), "left"
+        )
     copies = F.col("whole") + (slot(seed) <= F.col("last_slot")).cast("int")
     return joined.select(*names, "source_size", "target", copies.alias("copies"))
 

@@ -219,6 +219,8 @@ def test_targets_are_those_of_clamping_again_and_again(spark, share, most):
     assert sorted(map(repr, mixed.collect())) == sorted(
         map(repr, mixing.mix(docs_of(spark, rows[::-1]), share=share, max_epochs=most).collect())
     )
+    salted = mixing.mix(docs_of(spark, rows), share=share, max_epochs=most, broadcast_bytes=0)
+    assert sorted(map(repr, salted.collect())) == sorted(map(repr, mixed.collect()))
     again = mixing.repeated(mixed)
     assert again.columns == ["doc_id", "text", "source", "h", "slot"]
     assert again.count() == sum(r.copies for r in got)
