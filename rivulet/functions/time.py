@@ -52,7 +52,7 @@ def epoch_micros(rt: Column) -> Column:
 
 def floor_div(value: Column, width: int) -> Column:
     """``value // width`` on longs, exact also for negative values."""
-    return ((value - F.pmod(value, F.lit(width))) / F.lit(width)).cast("long")
+    return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width))
 
 
 def interval(duration: str) -> Column:

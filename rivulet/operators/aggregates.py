@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.text import bitmap_offset
 from rivulet.operators import ordered as o
+from rivulet.operators.batches import map_frames
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: Column, name: str = "total") -> DataFrame:
@@ -97,7 +98,8 @@ def accumulate(
     ``state`` is the accumulator's schema. ``add`` gets a batch of rows grouped by key
     and ``merge`` a batch of states grouped by key; both return one state row per key
     (``groups.agg(n=("x", "size"))``), so pandas works on all keys at once. Rows are folded
-    where they are read: a hot key reaches the shuffle as a few states per task.
+    where they are read: a hot key reaches the shuffle as a few states per task. Batches
+    have pandas' nullable whole numbers, so that long keys and values stay exact.
     """
     keys = list(keys)
     schema = T.StructType([*df.select(*keys).schema.fields, *T.StructType.fromDDL(state).fields])
@@ -132,7 +134,7 @@ def accumulate(
         if held is not None:
             yield held
 
-    states = df.mapInPandas(partial, schema)
+    states = map_frames(df, partial, schema)
     sorted_states = states.repartition(*keys).sortWithinPartitions(*keys)
-    merged = sorted_states.mapInPandas(final, schema)
+    merged = map_frames(sorted_states, final, schema)
     return merged.select(*keys, *[c.alias(n) for n, c in result.items()])

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.time import interval, micros
 from rivulet.operators import ordered as o
+from rivulet.operators.batches import map_frames
 from rivulet.operators.eventtime import with_watermark_before
 
 NONE_PENDING = -(2**62)
@@ -93,7 +94,7 @@ def _walk(rows: DataFrame, group: Sequence[str], seq: str) -> DataFrame:
 
     # Partitioned and sorted on the same columns, so each task sees whole groups in order.
     parts = rows.repartition(*group).sortWithinPartitions(*group, seq)
-    return parts.mapInPandas(task, schema)
+    return map_frames(parts, task, schema)
 
 
 def _entries(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import tokens
+from rivulet.operators.batches import map_frames
 
 
 def explode_tokens(
@@ -31,7 +32,10 @@ def map_with_setup(
     schema: str,
     teardown: Callable[[object], None] | None = None,
 ) -> DataFrame:
-    """Map batches of rows with a resource opened once per task and closed at its end."""
+    """Map batches of rows with a resource opened once per task and closed at its end.
+
+    Batches have pandas' nullable whole numbers, so that longs beside nulls stay exact.
+    """
 
     def task(batches: Iterable[pd.DataFrame]):
         resource = setup()
@@ -42,7 +46,7 @@ def map_with_setup(
             if teardown is not None:
                 teardown(resource)
 
-    return df.mapInPandas(task, schema)
+    return map_frames(df, task, schema)
 
 
 def tag(df: DataFrame, rules: Sequence[tuple[Column, Sequence[str]]], name: str = "tags"):
@@ -84,9 +88,10 @@ def connect(
     return left.select(*left_columns).unionByName(right.select(*right_columns))
 
 
-def rebalance(df: DataFrame, partitions: int) -> DataFrame:
-    """Spread rows evenly, whatever their keys."""
-    return df.repartition(partitions)
+def rebalance(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread rows evenly, whatever their keys: over the session's shuffle partitions."""
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count)
 
 
 def partition_by(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

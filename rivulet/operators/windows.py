@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rivulet.functions.time import epoch_micros, floor_div, interval, micros
 from rivulet.operators import ordered as o
+from rivulet.operators.batches import map_group_frames
 
 
 def tumbling(
@@ -67,8 +68,12 @@ def sliding_from_panes(
 
     # A window is named by its end, in slides since the epoch.
     first = (floor_div(epoch_micros(F.col(rt)), slide_us) + 1).alias("_first")
-    counted = df.groupBy(*keys, first).agg(
-        F.count("*").alias("_rows"), *[F.sum(v).alias(n) for n, v in sums.items()]
+    # Beside each sum how many values it has: a window without any is null, not 0.
+    held = {n: f"_held_{n}" for n in sums}
+    counted = df.where(F.col(rt).isNotNull()).groupBy(*keys, first).agg(
+        F.count("*").alias("_rows"),
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(n) for n, v in sums.items()],
+        *[F.count(v).alias(held[n]) for n, v in sums.items()],
     )
     start, after = F.col("_first"), F.col("_first") + panes
     block, next_block = floor_div(start, span), floor_div(after, span)
@@ -81,7 +86,7 @@ def sliding_from_panes(
     changes = F.when(block == next_block, F.array(opened, closed)).otherwise(
         F.array(opened, reopened, closed)
     )
-    values = ["_rows", *sums]
+    values = ["_rows", *sums, *held.values()]
     steps = counted.select(*keys, *values, F.explode(changes).alias("_c")).select(
         *keys,
         F.col("_c.block").alias("_block"),
@@ -101,7 +106,8 @@ def sliding_from_panes(
     ends = F.explode(F.sequence(F.col("_at"), F.col("_until") - 1)).alias("_end")
     spread = levels.where((F.col("_until") > F.col("_at")) & (F.col("_rows") > 0))
     kind = df.schema[rt].dataType
-    return spread.select(*keys, ends, *sums).select(
+    known = [F.when(F.col(h) > 0, F.col(n)).alias(n) for n, h in held.items()]
+    return spread.select(*keys, ends, *known).select(
         *keys,
         F.timestamp_micros(F.col("_end") * slide_us - size_us).cast(kind).alias("window_start"),
         F.timestamp_micros(F.col("_end") * slide_us).cast(kind).alias("window_end"),
@@ -141,7 +147,11 @@ def session_split(
     rows_per_chunk: int | None = None,
     plan: o.Layout | None = None,
 ) -> DataFrame:
-    """:func:`session` for batch frames whose hot keys must be split over tasks."""
+    """:func:`session` for batch frames whose hot keys must be split over tasks.
+
+    Rows without a time belong to no session, as there.
+    """
+    df = df.where(F.col(rt).isNotNull())
     plan = plan or o.layout(df, keys, [rt, seq], rows_per_chunk)
     stepped = o.running(df, keys, [rt, seq], {"_prev": o.previous(F.col(rt))}, plan=plan)
     opens = F.col("_prev").isNull() | (F.col(rt) > F.col("_prev") + interval(gap))
@@ -209,14 +219,14 @@ def process_window(
     """Apply ``fn(key, batches)`` to the rows of each key and window.
 
     The key tuple ends with the window's start and end. ``batches`` is an iterator of
-    pandas frames, so a large window is read piece by piece; ``fn`` must carry the
-    annotations of the iterator form of ``applyInPandas``. Prefer built-in aggregates, which
-    combine before the shuffle; this is for functions they cannot express.
+    pandas frames, so a large window is read piece by piece; ``fn`` yields frames. Whole
+    numbers have pandas' nullable types. Prefer built-in aggregates, which combine before
+    the shuffle; this is for functions they cannot express.
     """
     stamped = df.withColumn("_w", F.window(rt, size)).select(
         *df.columns, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")
     )
-    return stamped.groupBy(*keys, "window_start", "window_end").applyInPandas(fn, schema)
+    return map_group_frames(stamped, [*keys, "window_start", "window_end"], fn, schema)
 
 
 def processing_time_windows(

@@ -12,6 +12,7 @@ from rivulet.operators import transforms as t
 from rivulet.plans.registry import events, query, table, with_k
 from rivulet.session import run_folder
 from rivulet.sinks import files as file_sinks
+from rivulet.sinks import stores
 from rivulet.sources import files as file_sources
 
 WORDS = """
@@ -173,7 +174,7 @@ def side_output_high(spark, sf_dir):
 
 @query("rebalance", "select user_id, count(*) as cnt from events group by user_id")
 def rebalance(spark, sf_dir):
-    spread = t.rebalance(events(spark, sf_dir).select("user_id"), 8)
+    spread = t.rebalance(events(spark, sf_dir).select("user_id"))
     return spread.groupBy("user_id").agg(F.count("*").alias("cnt"))
 
 
@@ -335,6 +336,99 @@ def custom_accumulator(spark, sf_dir):
     )
 
 
+# Ids above 2^53 beside nulls: what floating point would change or merge.
+_WIDE = "case when user_id % 7 = 0 then null else user_id + 1000000000000000000 end"
+
+
+@query(
+    "accumulator_null_keys",
+    f"""select {_WIDE} as id, count(*) as n, min(event_id + 1000000000000000000) as first_id
+        from events group by 1""",
+)
+def accumulator_null_keys(spark, sf_dir):
+    wide = events(spark, sf_dir).select(
+        F.expr(_WIDE).alias("id"), (F.col("event_id") + 10**18).alias("event_id")
+    )
+    return agg.accumulate(
+        wide,
+        ["id"],
+        lambda groups: groups["event_id"].agg(n="size", low="min"),
+        lambda groups: groups.agg({"n": "sum", "low": "min"}),
+        "n long, low long",
+        {"n": F.col("n"), "first_id": F.col("low")},
+    )
+
+
+@query("map_setup_long_values", f"select event_id, {_WIDE} + 1 as shifted from events")
+def map_setup_long_values(spark, sf_dir):
+    return t.map_with_setup(
+        events(spark, sf_dir).select("event_id", F.expr(_WIDE).alias("id")),
+        lambda: 1,
+        lambda shift, b: b.assign(shifted=b["id"] + shift)[["event_id", "shifted"]],
+        "event_id long, shifted long",
+    )
+
+
+@query(
+    "running_sum_double",
+    """select event_id, sum(value::decimal(18, 2)) over (partition by user_id order by event_id)::double
+       as total from events""",
+)
+def running_sum_double(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("_v", F.col("value").cast("decimal(18,2)"))
+    total = {"total": o.running_sum(F.col("_v"))}
+    out = agg.running_agg(e, ["user_id"], "event_id", total)
+    return out.select("event_id", F.col("total").cast("double").alias("total"))
+
+
+@query(
+    "running_text_order",
+    """select event_id, count(*) over (partition by event_type order by props, event_id) as n,
+              max(user_id) over (partition by event_type order by props, event_id) as top
+       from events""",
+)
+def running_text_order(spark, sf_dir):
+    values = {"n": o.running_count(), "top": o.running_max(F.col("user_id"))}
+    # So few rows a chunk that every type is a hot key.
+    out = o.running(
+        events(spark, sf_dir), ["event_type"], ["props", "event_id"], values, rows_per_chunk=500
+    )
+    return out.select("event_id", "n", "top")
+
+
+@query(
+    "running_ties",
+    """select event_id, count(*) over (order by day, event_id) as n,
+              min(value) over (order by day, event_id) as low
+       from (select *, epoch_us(ts) // 864000000000 as day from events)""",
+)
+def running_ties(spark, sf_dir):
+    ties = events(spark, sf_dir).withColumn("_day", F.expr("unix_micros(cast(ts as timestamp)) div 864000000000"))
+    values = {"n": o.running_count(), "low": o.running_min(F.col("value"))}
+    out = o.running(ties, [], ["_day", "event_id"], values, rows_per_chunk=300)
+    return out.select("event_id", "n", "low")
+
+
+@query(
+    "keyed_upsert_rows",
+    "select user_id::varchar as key, arg_max(value, event_id)::varchar as value from events group by user_id",
+)
+def keyed_upsert_rows(spark, sf_dir):
+    """What a keyed store holds after all rows."""
+    last = stores.last_per_key(events(spark, sf_dir), "user_id", "value", "event_id")
+    return last.select(F.col("user_id").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query(
+    "json_documents",
+    """select '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}'
+       as document from events""",
+)
+def json_documents(spark, sf_dir):
+    """The documents an index gets."""
+    return stores.documents(events(spark, sf_dir).select("event_id", "user_id", "event_type"))
+
+
 @query(
     "scalar_functions",
     """select event_id, string_split(event_type, 'i')[1] as head,

@@ -52,13 +52,24 @@ def unique_visitors_hourly(spark, sf_dir):
     return w.distinct_per_window(_views(spark, sf_dir), [], "ts", "1 hour", "user_id")
 
 
-@query("unique_visitors_approx")
+@query(
+    "unique_visitors_approx",
+    "select window_start, window_end, true as near from ("
+    + hop(VIEWS, "", 3600, 3600, "count(*) as cnt")
+    + ")",
+)
 def unique_visitors_approx(spark, sf_dir):
-    """Approximate, so without exact SQL; tests bound its error."""
+    """Per hour whether the approximate number is within 5 % of the exact one."""
+    views = _views(spark, sf_dir)
     hour = F.window("ts", "1 hour").alias("w")
-    counted = agg.approx_distinct(_views(spark, sf_dir), [hour], F.col("user_id"), 0.01)
-    return counted.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv"
+    counted = agg.approx_distinct(views, [hour], F.col("user_id"), 0.01)
+    guess = counted.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), F.col("uv").alias("guess")
+    )
+    exact = w.distinct_per_window(views, [], "ts", "1 hour", "user_id")
+    near = F.abs(F.col("guess") - F.col("uv")) <= 0.05 * F.col("uv")
+    return exact.join(guess, ["window_start", "window_end"]).select(
+        "window_start", "window_end", near.alias("near")
     )
 
 
@@ -307,6 +318,20 @@ _FAILURES = f"""
       and n = (select max(n) from e where e.user_id = walk.user_id)"""
 
 
+@query(
+    "login_fail_null_users",
+    f"""select case when user_id = 0 then null else user_id + 1000000000000000000 end as user_id,
+               first_seq, failures, closed_by from ({_FAILURES})""",
+)
+def login_fail_null_users(spark, sf_dir):
+    """The same with users above 2^53 and one without id."""
+    wide = F.when(F.col("user_id") != 0, F.col("user_id") + 10**18).alias("user_id")
+    logins = _logins(spark, sf_dir)
+    logins = logins.select(*[wide if c == "user_id" else c for c in logins.columns])
+    success = F.col("event_type") == "signup"
+    return timers.repeated_failures(logins, "user_id", "ts", "event_id", success, "12 hours", 2, "1 hour")
+
+
 @query("login_fail_process", _FAILURES)
 def login_fail_process(spark, sf_dir):
     """Users with two failures or more before a success or within twelve hours."""

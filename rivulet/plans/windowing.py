@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from rivulet.operators import aggregates as agg
@@ -51,6 +52,17 @@ def sliding_panes(spark, sf_dir):
     return w.sliding_from_panes(e, ["user_id"], "ts", "24 hours", "1 hour", {"cnt": F.lit(1)})
 
 
+@query(
+    "sliding_panes_null_values",
+    hop("(select *, case when user_id % 3 > 0 then event_id end as v from events)", "user_id", 86400, 3600,
+        "sum(v)::bigint as total"),
+)
+def sliding_panes_null_values(spark, sf_dir):
+    """A window whose values are all null has a null sum."""
+    e = events(spark, sf_dir).withColumn("v", F.when(F.col("user_id") % 3 > 0, F.col("event_id")))
+    return w.sliding_from_panes(e, ["user_id"], "ts", "24 hours", "1 hour", {"total": F.col("v")})
+
+
 @query("sql_hop", hop("events", "event_type as id", 10800, 1800, "count(user_id) as cnt").replace(
     "group by event_type as id", "group by event_type"))
 def sql_hop(spark, sf_dir):
@@ -84,6 +96,18 @@ def session_gap_split(spark, sf_dir):
     return w.session_split(e, ["user_id"], "ts", "event_id", "6 hours", _count())
 
 
+def _some_times(spark, sf_dir):
+    late = F.when(F.col("event_id") % 5 > 0, F.col("ts")).alias("ts")
+    return events(spark, sf_dir).select("user_id", late, "event_id")
+
+
+@query("session_null_times", _SESSIONS.replace("from events", "from (select * from events where event_id % 5 > 0)"))
+def session_null_times(spark, sf_dir):
+    """Rows without a time are in no session, in the split plan too."""
+    e = _some_times(spark, sf_dir)
+    return w.session_split(e, ["user_id"], "ts", "event_id", "6 hours", _count(), rows_per_chunk=250)
+
+
 @query(
     "count_window_tumbling",
     """select user_id, (rn - 1) // 5 + 1 as pane, sum(event_id)::bigint as total
@@ -113,6 +137,24 @@ def window_all(spark, sf_dir):
     return w.tumbling(events(spark, sf_dir), [], "ts", "1 hour", _count())
 
 
+@query(
+    "whole_window",
+    hop("events", "event_type", 86400, 86400, "count(*) as cnt, quantile_disc(event_id, 0.5) as middle"),
+)
+def whole_window(spark, sf_dir):
+    """A function of all rows of a window: the middle id, for which they are held together."""
+
+    def middle(key, batches):
+        ids = pd.concat([b["event_id"] for b in batches]).sort_values()
+        row = {"event_type": key[0], "window_start": key[1], "window_end": key[2], "cnt": len(ids)}
+        yield pd.DataFrame([row | {"middle": ids.iloc[(len(ids) - 1) // 2]}])
+
+    schema = "event_type string, window_start timestamp_ntz, window_end timestamp_ntz, cnt long, middle long"
+    return w.process_window(
+        events(spark, sf_dir).select("event_type", "event_id", "ts"), ["event_type"], "ts", "1 day", middle, schema
+    )
+
+
 @query(
     "process_window",
     hop("events", "event_type", 86400, 86400,

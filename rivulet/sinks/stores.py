@@ -59,6 +59,11 @@ def upsert_keyed(
     last_per_key(df, key, value, seq).select(key, value).foreachPartition(write)
 
 
+def documents(df: DataFrame) -> DataFrame:
+    """Each row as a JSON document."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("document"))
+
+
 def index_documents(
     df: DataFrame,
     connect: Callable[[], Callable[[list[str]], None]],
@@ -66,8 +71,6 @@ def index_documents(
 ) -> None:
     """Send each row as a JSON document; ``connect()`` gives ``bulk(documents)``, called
     with at most ``max_actions`` documents at a time."""
-    documents = df.select(F.to_json(F.struct(*df.columns)))
-
     def write(rows: Iterable[Row]) -> None:
         bulk, held = connect(), []
         for row in rows:
@@ -78,7 +81,7 @@ def index_documents(
         if held:
             bulk(held)
 
-    documents.foreachPartition(write)
+    documents(df).foreachPartition(write)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:

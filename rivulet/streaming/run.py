@@ -43,6 +43,8 @@ def collect_stream(
 ) -> DataFrame:
     """Run a stream over the data available now; gives its output with a ``batch`` column."""
     folder = run_folder(spark, name)
+    # So that there is something to read when no micro-batch ran.
+    spark.createDataFrame([], df.schema).write.parquet(f"{folder}/out/batch=-1")
     query = start(df, parquet_log(f"{folder}/out"), f"{folder}/checkpoint", output_mode)
     query.awaitTermination()
     schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])

@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from rivulet.plans import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -46,7 +47,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_queries_without_sql_give_rows(spark):
-    for name in set(entry.queries()) - set(entry.oracle_sql()):
+    for name in set(QUERIES) - set(entry.oracle_sql()):
         assert entry.queries()[name](spark, SF_DIR).count() > 0, name
 
 

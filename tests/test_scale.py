@@ -6,9 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from rivulet.plans import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def plan_lines(df):
