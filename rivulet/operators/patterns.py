@@ -49,8 +49,11 @@ def match_pattern(
     column per stage: the row as a struct, or an array of rows for a stage with
     ``times``. All rows of a match lie strictly less than ``within`` apart. ``timeouts`` has
     the stages found in time and ``timeout_ts``, the start plus ``within``. An empty ``key``
-    takes the whole table as one sequence, still split over tasks.
+    takes the whole table as one sequence, still split over tasks. Rows with a null key
+    belong to no sequence.
     """
+    for k in key:
+        df = df.where(F.col(k).isNotNull())
     if within is None and not key and any(s.contiguity == FOLLOWED_BY_ANY for s in stages):
         raise ValueError("followed_by_any over a whole table needs within")
     segments: list[list[Stage]] = []

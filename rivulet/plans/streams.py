@@ -223,24 +223,17 @@ def stream_side_output(spark, sf_dir):
     return t.union(*parts)
 
 
-@query(
-    "stream_control",
-    """select event_id, (select max_by(user_id, event_id) from events
-                         where event_type = 'signup') as switch
-       from events where event_type <> 'signup'""",
-)
+@query("stream_control", SQL["broadcast_control"])
 def stream_control(spark, sf_dir):
-    """Rows with the newest control value at the time their micro-batch is read."""
-    main = _stream(spark, sf_dir).where("event_type <> 'signup'").select("event_id")
+    """Rows with the control value that arrived last before them, in one stream of both."""
     folder = run_folder(spark, "control")
-
-    def control():
-        return events(spark, sf_dir).where("event_type = 'signup'").select("event_id", "user_id")
-
-    sink = run.with_latest_control(
-        control, "event_id", "user_id", "switch", run.parquet_log(f"{folder}/out")
+    is_control = F.col("event_type") == "signup"
+    value = F.when(F.col("user_id") % 2 == 1, "true").otherwise("false")
+    sink = run.with_control_by_arrival(
+        folder, "event_id", is_control, value, "switch", run.parquet_log(f"{folder}/out"), spark
     )
-    run.start(main, sink, f"{folder}/checkpoint").awaitTermination()
-    return spark.read.schema("event_id long, switch long").parquet(f"{folder}/out").select(
+    stream = _stream(spark, sf_dir).select("event_id", "event_type", "user_id")
+    run.start(stream, sink, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id long, switch string").parquet(f"{folder}/out").select(
         "event_id", "switch"
     )

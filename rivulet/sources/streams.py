@@ -28,15 +28,24 @@ def topic_lines(spark: SparkSession, servers: str, topic: str, group: str) -> Da
     return stream.select(F.col("value").cast("string").alias("value"))
 
 
+BYTES_PER_TRIGGER = 8 << 30
+
+
 def table_stream(
     spark: SparkSession, path: str, schema, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A parquet table, a folder or one file, as a stream of its files."""
+    """A parquet table, a folder or one file, as a stream of its files.
+
+    A micro-batch takes ``files_per_trigger`` files, or else about ``BYTES_PER_TRIGGER``, so that a
+    backlog is many bounded batches; a single larger file is one.
+    """
     # Spark takes a plain path for a folder; a pattern that matches only it may be a file.
     path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(BYTES_PER_TRIGGER))
     return reader.parquet(path)
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.operators.joins import enrich_latest
 from rivulet.session import run_folder, stream_options
 
 
@@ -90,3 +91,56 @@ def with_latest_control(
         sink(batch.withColumn(name, F.lit(value).cast(kind)), batch_id)
 
     return write
+
+
+def with_control_by_arrival(
+    folder: str,
+    seq: str,
+    is_control: Column,
+    value: Column,
+    name: str,
+    sink: Callable[[DataFrame, int], None],
+    spark: SparkSession,
+) -> Callable[[DataFrame, int], None]:
+    """A sink for one stream of control and other rows, in arrival order ``seq``: adds to
+    every other row the control value last seen before it, null before the first.
+
+    Inside a micro-batch that is :func:`enrich_latest`. Its last control value is kept in
+    ``folder`` under its number, one row at most, for the batches after it; a repeated
+    batch replaces its own and reads earlier ones only.
+    """
+    path = f"{folder}/last-control"
+    started = []
+
+    def last_before(batch_id: int, schema) -> DataFrame:
+        kept = spark.read.schema(schema).option("basePath", path).parquet(path)
+        return kept.where(F.col("batch") < batch_id).orderBy(F.desc("batch")).limit(1)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            control = batch.where(is_control).select(
+                F.col(seq), F.struct(value.alias("v")).alias("_value")
+            )
+            last = control.agg(F.max_by("_value", seq).alias("_last")).where("_last is not null")
+            schema = T.StructType([*last.schema.fields, T.StructField("batch", T.LongType())])
+            if not started:
+                # So that there is something to read before the first control row.
+                spark.createDataFrame([], last.schema).write.mode("overwrite").parquet(f"{path}/batch=-1")
+                started.append(True)
+            earlier = last_before(batch_id, schema).first()
+            kind = last.schema["_last"].dataType["v"].dataType
+            carried = F.lit(earlier["_last"]["v"] if earlier else None).cast(kind)
+            main = batch.where(~F.coalesce(is_control, F.lit(False)))
+            found = enrich_latest(main, control, seq, F.col("_value"), "_found")
+            sink(
+                found.withColumn(
+                    name, F.when(F.col("_found").isNull(), carried).otherwise(F.col("_found.v"))
+                ).drop("_found"),
+                batch_id,
+            )
+            last.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write

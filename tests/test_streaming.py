@@ -261,6 +261,19 @@ def test_latest_control(spark, feed, tmp_path):
     assert out == ["0"]
 
 
+def test_control_by_arrival_over_batches(spark, feed, tmp_path):
+    folder, out = run.run_folder(spark, "arrival"), []
+    sink = run.with_control_by_arrival(
+        folder, "s", F.col("k") == "c", F.col("v"), "switch",
+        lambda b, i: out.extend((r["s"], r["switch"]) for r in b.collect()), spark,
+    )
+    stream = feed([[("a", 0, 0, 1)], [("c", 0, 1, 7), ("a", 0, 2, 1), ("c", 0, 3, 8)], [("a", 0, 4, 1)], [("a", 0, 5, 1), ("c", 0, 6, None), ("a", 0, 7, 1)], [("a", 0, 8, 1)]], SCHEMA)
+    names = stream.columns
+    stream = stream.toDF("k", "t", "s", "v") if len(names) == 4 else stream
+    run.start(stream, sink, f"{folder}/checkpoint").awaitTermination()
+    assert sorted(out, key=lambda r: r[0]) == [(0, None), (2, 7), (4, 8), (5, 8), (7, None), (8, None)]
+
+
 def test_restart_continues_state(spark, feed, tmp_path):
     stream = feed([[("a", 0, 0, 10)]], SCHEMA)
     totals = stream.groupBy("k").agg(F.sum("v").alias("total"))
