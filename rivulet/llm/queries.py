@@ -155,7 +155,34 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_ngram_jaccard")
+@query(
+    "op6_ngram_jaccard",
+    r"""
+    with recursive w as (
+        select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') as ws
+        from documents
+    ), s as (
+        select distinct doc_id, array_to_string(ws[i + 1 : i + 5], ' ') as shingle
+        from (select doc_id, ws, unnest(range(greatest(len(ws) - 4, 1))) as i from w where len(ws) > 0)
+    ), n as (select doc_id, count(*) as n from s group by doc_id),
+    pairs as (
+        select a.doc_id as a, b.doc_id as b, count(*) as shared
+        from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+    ), links as (
+        select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b
+        where 100 * shared >= 80 * (x.n + y.n - shared)
+    ), near as (select a, b from links union all select b, a from links),
+    reach as (
+        select doc_id as a, doc_id as c from documents
+        union select reach.a, near.b from reach join near on near.a = reach.c
+    )
+    select w.doc_id, coalesce(n.n, 0) as n_shingles, r.component_id
+    from w left join n using (doc_id)
+    join (select a as doc_id, min(c) as component_id from reach group by a) r using (doc_id)
+    """,
+)
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -180,6 +207,21 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-@query("op9_embedding_dedup")
+@query(
+    "op9_embedding_dedup",
+    """
+    with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
+    near as (
+        select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+        where list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reach as (
+        select vec_id as a, vec_id as c from v
+        union select reach.a, near.b from reach join near on near.a = reach.c
+    ), r as (select a as vec_id, min(c) as component_id from reach group by a)
+    select vec_id, (select count(*) from near where a = vec_id) as n_links, component_id,
+        vec_id = component_id as kept
+    from r
+    """,
+)
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
