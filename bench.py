@@ -49,6 +49,10 @@ HEADLINE = [
     "login_fail_process",
     "rising_level_alarm",
     "retract_changelog",
+    # Keys hot enough to be cut into chunks, and a stream.
+    "running_text_order",
+    "running_ties",
+    "stream_tumbling_count",
 ]
 
 
