@@ -38,8 +38,8 @@ CAPACITY = 4096
 END_ID = 1
 GRAIN = 4
 ROUNDS = 400
-KNOWN_WORDS = 500_000
-PART = 4 << 20
+KNOWN_WORDS = 300_000
+PART = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
