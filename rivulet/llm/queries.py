@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, exact, hnsw, langid, lines, mixing, ngram, packing, toxicity
+from rivulet.llm import chat, exact, hnsw, langid, lines, mixing, ngram, packing, pii, toxicity
 from rivulet.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,3 +225,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, "op3")
