@@ -364,9 +364,10 @@ def _sketches(texts: DataFrame) -> DataFrame:
 def _sketches_fit(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """Whether sketches leave room for enough shared shingles.
 
-    A bit that only one of two sets has is at least one shingle the other lacks.
+    A bit that only one of two sets has is at least one shingle the other lacks. Words are
+    counted unsigned: bitwise_count takes the absolute value of signed numbers.
     """
-    a, b = one[5:], many[:, 5:]
+    a, b = one[5:].astype(np.uint64), many[:, 5:].astype(np.uint64)
     most = np.minimum(
         one[2] - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
         many[:, 2] - np.bitwise_count(~a & b).sum(axis=1, dtype=np.int64),

@@ -104,6 +104,30 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, costly):
     assert got == expected_components(rows)
 
 
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(6)
+    fit = out = 0
+    for _ in range(400):
+        n = int(rng.integers(20, 1200))
+        base = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        sets = [base]
+        for share in (0.02, 0.1, 0.2, 0.5):
+            mine = base.copy()
+            at = rng.choice(n, int(share * n), replace=False)
+            mine[at] = rng.integers(0, 1 << 64, len(at), np.uint64, endpoint=False)
+            sets.append(mine)
+        rows = np.array([[0, i, len(s), -len(s), 0, *ngram.sketch(s)] for i, s in enumerate(sets)], np.int64)
+        got = ngram._sketches_fit(rows[0], rows)
+        bits = [sum(1 << x for x in {int(h) & 1023 for h in s}) for s in sets]
+        for s, b, fits in zip(sets, bits, got.tolist(), strict=True):
+            both = len(np.intersect1d(base, s))
+            assert fits or ngram.DEN * both < ngram.NUM * (len(base) + len(s) - both)
+            most = min(n - (bits[0] & ~b).bit_count(), len(s) - (b & ~bits[0]).bit_count())
+            assert fits == (9 * most >= 4 * (n + len(s)))
+            fit, out = fit + fits, out + (not fits)
+    assert fit and out
+
+
 def test_rows_without_id_and_repeated_rows_and_no_rows(spark):
     text = "a b c d e f g h"
     rows = [(5, text), (5, text), (9, text), (None, text), (None, "q r s"), (3, None)]
