@@ -2,7 +2,8 @@
 
 Numbers with separators are permuted by a keyed Feistel network over their decimal digits
 and put back into their format; equal values get equal pseudonyms in every document.
-Card numbers (13 to 19 digits, Luhn-valid) keep a valid check digit; dates (yyyy-mm-dd,
+Card numbers (13 to 19 digits, Luhn-valid; beside other numbers only in the usual groups)
+keep a valid check digit; dates (yyyy-mm-dd,
 valid, 1900 to 2099) become other valid ones by walking the cycle of a five-digit network;
 numbers of the forms 123-45-6789 and of telephones are permuted whole. One way, by a keyed
 digest: IPv4 addresses become valid ones, e-mail names hexadecimal digits at example.org.
@@ -21,10 +22,36 @@ ROUNDS = 8
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.]*[0-9])"
 DATE = r"(?<![0-9])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 SOCIAL = r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
-PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
-ANY = "|".join((EMAIL, IP, DATE, CARD, SOCIAL, PHONE))
+# A telephone number takes no digits from one of three, three and four digits that follows.
+NEXT = r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+PHONE = (
+    rf"(?!(?:[0-9]{{1,4}}[ .-]){{1,2}}{NEXT})(?:\+[0-9]{{1,3}}[ .-]?)?"
+    r"\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+)
+# What may be a card number, the likeliest first. The first form is a whole run of numbers,
+# grouped in any way; the others may stand beside other numbers.
+RUN = r"(?<![0-9])(?<![0-9][ -])(?=([0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])))"
+CARDS = (
+    RUN,
+    r"(?<![0-9])(?=([0-9]{13,19}(?![0-9])))",
+    r"(?<![0-9])(?<![0-9]-)(?=([0-9]{4}(?: [0-9]{4}){3}(?![0-9])))",
+    r"(?<![0-9])(?=([0-9]{4}(?:-[0-9]{4}){3}(?![0-9])))",
+    r"(?<![0-9])(?=([0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}(?![0-9])))",
+    r"(?<![0-9])(?<![0-9]-)(?=([0-9]{4}(?: [0-9]{3}){3}(?![0-9])))",
+    r"(?<![0-9])(?=([0-9]{4}(?:-[0-9]{3}){3}(?![0-9])))",
+    rf"(?<![0-9])(?<![0-9]-)(?=([0-9]{{4}}(?: [0-9]{{4}}){{3}} (?!{NEXT}|{SOCIAL})[0-9]{{1,3}}(?![0-9])))",
+    rf"(?<![0-9])(?=([0-9]{{4}}(?:-[0-9]{{4}}){{3}}-(?!{NEXT}|{SOCIAL})[0-9]{{1,3}}(?![0-9])))",
+)
+# A run that holds one of these is no card number as a whole.
+SHORTER = "|".join((DATE, SOCIAL, rf"(?<![0-9]){NEXT}"))
+# Card numbers that fail their check are not telephone numbers either.
+FAILED = (
+    r"(?<![0-9])[0-9]{4}(?:[ -][0-9]{4}){3}"
+    rf"(?:(?:[ -][0-9]{{1,3}})?(?![ -]?[0-9])|(?=[ -]{PHONE}))"
+)
+FIRST = "|".join((EMAIL, IP, DATE, SOCIAL))
+THEN = "|".join((FAILED, PHONE))
 FIRST_DAY, DAYS = "1900-01-01", 73049
 
 
@@ -97,15 +124,39 @@ def pseudonym(value: Column, key: str) -> Column:
     )
 
 
+def _cards(text: Column) -> Column:
+    """The distinct valid card numbers of a text, as they are written there."""
+    found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in CARDS]))
+    valid = lambda v: (luhn_sum(F.regexp_replace(v, "[^0-9]", "")) % 10 == 0) & ~v.rlike(SHORTER)
+    may = text.rlike("[0-9](?:[ -]?[0-9]){12}")
+    none = F.array().cast("array<string>")
+    return F.when(may, F.filter(F.array_distinct(found), valid)).otherwise(none)
+
+
+def _pieces(text: Column, pattern: Column, rest) -> Column:
+    """The text as pieces in order; ``rest`` makes pieces of what lies between the values."""
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    value = lambda v: F.struct(F.coalesce(v, F.lit("")).alias("s"), v.isNotNull().alias("hit"))
+    return F.flatten(
+        F.zip_with(F.split(text, pattern, -1), found, lambda s, v: F.concat(rest(s), F.array(value(v))))
+    )
+
+
 def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """The rows with every value found in ``column`` replaced; n_found is added."""
+    """The rows with every value found in ``column`` replaced; n_found is added.
+
+    Valid card numbers are looked for first, so that no other value takes a part of them.
+    """
     text = F.col(column)
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    staged = docs.withColumn("_found", found).withColumn("_between", F.split(text, ANY, -1))
-    put = F.transform("_found", lambda v: pseudonym(v, key))
-    joined = F.array_join(
-        F.zip_with("_between", put, lambda s, p: F.concat(s, F.coalesce(p, F.lit("")))), ""
+    cards = F.concat(F.lit("(?<![0-9])(?:"), F.array_join("_cards", "|"), F.lit(f")(?![0-9])|{FIRST}"))
+    first = F.when(F.size("_cards") > 0, F.concat(F.lit(f"{EMAIL}|"), cards)).otherwise(F.lit(FIRST))
+    plain = lambda s: F.array(F.struct(s.alias("s"), F.lit(False).alias("hit")))
+    staged = docs.withColumn("_cards", _cards(text)).withColumn("_first", first)
+    staged = staged.withColumn(
+        "_pieces", _pieces(text, F.col("_first"), lambda s: _pieces(s, F.lit(THEN), plain))
     )
-    return staged.withColumn(column, F.when(F.size("_found") > 0, joined).otherwise(text)).select(
-        *docs.columns, F.coalesce(F.greatest(F.size("_found"), F.lit(0)), F.lit(0)).alias("n_found")
+    put = F.transform("_pieces", lambda p: F.when(p["hit"], pseudonym(p["s"], key)).otherwise(p["s"]))
+    n = F.size(F.filter("_pieces", lambda p: p["hit"]))
+    return staged.withColumn(column, F.when(n > 0, F.array_join(put, "")).otherwise(text)).select(
+        *docs.columns, F.coalesce(F.greatest(n, F.lit(0)), F.lit(0)).alias("n_found")
     )

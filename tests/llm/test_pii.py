@@ -28,6 +28,38 @@ def test_values_are_permuted_within_their_format(spark):
     assert pii.pseudonymise(docs.limit(0), "k").collect() == []
 
 
+def test_values_beside_other_numbers_are_found(spark):
+    phone, social, date = r"\d{3}-\d{3}-\d{4}", r"\d{3}-\d\d-\d{4}", r"\d{4}-\d\d-\d\d"
+    card = r"\d{4} \d{4} \d{4} \d{4}"
+    cases = [
+        ("555-123-4567 555-987-6543", f"({phone}) ({phone})"),
+        ("123-45-6789 555-123-4567", f"({social}) ({phone})"),
+        ("123-45-6789 1985-02-28", f"({social}) ({date})"),
+        ("1985-02-28 555-123-4567 123-45-6789", f"({date}) ({phone}) ({social})"),
+        ("ref 7 4111111111111111", r"ref 7 (\d{16})"),
+        ("1234 4111 1111 1111 1111", f"1234 ({card})"),
+        ("4111 1111 1111 1111 555-123-4567", f"({card}) ({phone})"),
+        ("555-123-4567 4111 1111 1111 1111", f"({phone}) ({card})"),
+        ("4111 1111 1111 1111 5500 0000 0000 0004", f"({card}) ({card})"),
+        ("4111 1111 1111 1112 555-123-4567", f"4111 1111 1111 1112 ({phone})"),
+        ("3782 822463 10005 123-45-6789", rf"(\d{{4}} \d{{6}} \d{{5}}) ({social})"),
+        ("45 555-123-4567", f"45 ({phone})"),
+        ("41 1111 1111 1111 11", r"(\d\d \d{4} \d{4} \d{4} \d\d)"),
+        ("4111111111111111@mail.example.com", r"(u[0-9a-f]{12}@example.org)"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    for i, (text, form) in enumerate(cases):
+        new = re.fullmatch(form, got[i].text)
+        assert new, (text, got[i].text)
+        for value in new.groups():
+            assert value not in text, (text, got[i].text)
+            if len(re.sub(r"\D", "", value)) > 12 and "@" not in value:
+                assert luhn(value), (text, got[i].text)
+    assert got[5].text[5:] == got[6].text[:19] == got[7].text[13:] == got[8].text[:19]
+    assert got[0].text[:12] == got[1].text[12:] == got[9].text[20:] == got[11].text[3:]
+
+
 def test_the_network_is_one_to_one(spark):
     df = spark.range(1000).selectExpr("lpad(cast(id as string), 3, '0') as d")
     assert df.select(pii.feistel(df["d"], "k", "x").alias("p")).distinct().count() == 1000
