@@ -7,7 +7,7 @@ configurations as it can. Multiplicative weights solve it: each round prices eve
 length by how much of it is covered so far, a knapsack dynamic program finds the
 configuration of the highest price, and that configuration gets a step. Whole numbers
 of configurations are then taken while lengths last; what is left is filled largest
-first. For the program, lengths are rounded up to ``GRAIN`` tokens; places are exact.
+first. Lengths are counted in units of ``GRAIN`` tokens, which is one: exactly.
 
 The plan depends on at most ``capacity`` counts and has a bounded number of rows. A
 piece's place is a lookup by its length and its rank among the pieces of that length;
@@ -36,7 +36,7 @@ from rivulet.llm.common import SPACE_BYTES, blocks, buffers, session, text_of, w
 
 CAPACITY = 4096
 END_ID = 1
-GRAIN = 4
+GRAIN = 1
 ROUNDS = 400
 KNOWN_WORDS = 300_000
 PART = 2 << 20
@@ -190,13 +190,25 @@ def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int,
     """Indexes and numbers of the sizes that fit and have the highest total price."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
+    # The best single size of the first k, and the best prices from the largest room down.
+    single = np.zeros(len(sizes) + 1, int)
+    for k in range(1, len(sizes) + 1):
+        i = single[k - 1]
+        single[k] = i if k > 1 and prices[i] >= prices[k - 1] else k - 1
+    down = np.zeros(capacity + 1)
     for c in range(1, capacity + 1):
         best[c], choice[c] = best[c - 1], -1
         if k := fits[c]:
-            value = best[c - sizes[:k]] + prices[:k]
-            i = int(value.argmax())
-            if value[i] > best[c]:
-                best[c], choice[c] = value[i], i
+            i = int(single[k])
+            if prices[i] > best[c]:
+                best[c], choice[c] = prices[i], i
+            # Of two or more sizes the smallest takes half the room at most.
+            if k := fits[c // 2]:
+                value = down[capacity - c :].take(sizes[:k]) + prices[:k]
+                i = int(value.argmax())
+                if value[i] > best[c]:
+                    best[c], choice[c] = value[i], i
+        down[capacity - c] = best[c]
     taken: dict[int, int] = {}
     c = capacity
     while c > 0:

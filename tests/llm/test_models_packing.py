@@ -209,6 +209,26 @@ def test_pieces_lie_gapless_in_few_sequences(spark, definition, capacity):
     assert len(sequences) <= 1.15 * -(-total // capacity)
 
 
+@pytest.mark.parametrize(
+    "counts, sequences",
+    [({1: 4096 * 5}, 5), ({1365: 300}, 100), ({819: 500}, 100), ({2049: 70, 2047: 70}, 70), ({4095: 9, 1: 9}, 9)],
+)
+def test_room_is_not_lost_to_rounding(counts, sequences):
+    used = {}
+    table = packing.placement(counts).tolist()
+    for at, (length, rank, first, offset) in enumerate(table):
+        more = at + 1 < len(table) and table[at + 1][0] == length
+        for i in range((table[at + 1][1] if more else counts[length]) - rank):
+            used.setdefault(first + i, []).append((offset, length))
+    assert sum(map(len, used.values())) == sum(counts.values()) and len(used) == sequences
+    for places in used.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+
+
 def test_packing_of_an_empty_table(spark, definition):
     assert packing.pack(spark.createDataFrame([], DOCS), definition).collect() == []
 
