@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import chat, exact, hnsw, langid, lines, mixing, ngram, packing, pii, toxicity
+from rivulet.llm import (
+    chat,
+    exact,
+    hnsw,
+    langid,
+    lexical,
+    lines,
+    mixing,
+    ngram,
+    packing,
+    pages,
+    pii,
+    runs,
+    toxicity,
+)
 from rivulet.llm.common import held_out, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -231,3 +245,52 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, "op3")
+
+
+@query(
+    "op11_lexical_search",
+    r"""
+    with d as (
+        select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts
+        from documents
+    ), s as (
+        select count(*) filter (where len(ts) > 0) as n_docs, cast(sum(len(ts)) as bigint) as n_terms from d
+    ), q as (
+        select distinct item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark
+    ), tf as (
+        select doc_id, n, term, count(*) as tf
+        from (select doc_id, cast(len(ts) as bigint) as n, unnest(ts) as term from d)
+        where term in (select term from q) group by doc_id, n, term
+    ), df as (select term, count(*) as df from tf group by term),
+    part as (
+        select doc_id, term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint)
+            * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) as part
+        from tf join df using (term) cross join s
+    ), found as (
+        select item_id, doc_id, cast(sum(part) as bigint) as score
+        from q join part using (term) group by item_id, doc_id having sum(part) > 0
+    )
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
+        doc_id, score
+    from found qualify rank <= 10
+    """,
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.digests(runs.periodic_runs(runs.looped(docs)))
+
+
+@query("op13_main_text")
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
