@@ -7,8 +7,9 @@ nullable types.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,6 +55,34 @@ def map_frames(
     return df.mapInArrow(run, out)
 
 
+def changes(rows: pd.DataFrame, group: Sequence[str]) -> np.ndarray:
+    """Whether each row's group differs from that of the row before; nulls equal nulls."""
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for g in group:
+        codes = pd.factorize(rows[g], use_na_sentinel=False)[0]
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], group: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``group`` as frames that each hold whole groups."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        before = [held[-1].iloc[-1:]] if held else []
+        new = changes(pd.concat([*before, batch], ignore_index=True), group)[len(before) :]
+        cuts = np.flatnonzero(new if held else np.append(False, new[1:]))
+        if len(cuts):
+            yield pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True)
+            held = [batch.iloc[cuts[-1] :]]
+        else:
+            held.append(batch)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def map_group_frames(
     df: DataFrame,
     keys: list[str],

@@ -22,7 +22,7 @@ are slow, not wrong.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,42 +38,25 @@ CHUNK = "_chunk"
 SKETCH_ITEMS = 50_000
 MAX_HOT_KEYS = 5_000
 MIN_CHUNKS, MAX_CHUNKS = 32, 10_000
+# As many cuts are compared in one expression.
+DIRECT_CUTS = 256
 
 
 # A chunk is cut at one of this many sampled rows.
 SAMPLE_PER_CHUNK = 20
 
 
-def _halved(position: Column, cuts: list[Column], first: int = 0) -> Column:
-    """How many cuts are not after the position, by halving."""
+def _halved(before: Callable[[int], Column], cuts: int, first: int = 0) -> Column:
+    """How many of the cuts are not after the position, by halving: ``before(i)`` says
+    whether the position is before cut i."""
     if not cuts:
         return F.lit(first)
-    half = len(cuts) // 2
-    return F.when(position < cuts[half], _halved(position, cuts[:half], first)).otherwise(
-        _halved(position, cuts[half + 1 :], first + half + 1)
+    half = cuts // 2
+    return F.when(before(first + half), _halved(before, half, first)).otherwise(
+        _halved(before, cuts - half - 1, first + half + 1)
     )
 
 
-def _chunk_number(position: Column, cuts: list[Column]) -> Column:
-    """How many cuts are not after the position.
-
-    Many cuts are searched in two steps, as arrays: as one expression they would be more
-    than Spark can compile.
-    """
-    if len(cuts) <= MIN_CHUNKS:
-        return _halved(position, cuts).cast("long")
-    width = math.isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-
-    def passed(some: Column) -> Column:
-        return F.size(F.filter(some, lambda c: c <= position))
-
-    group = passed(F.array(*[g[-1] for g in groups]))
-    inside = F.get(F.array(*[F.array(*g) for g in groups]), group)
-    rest = F.when(group < len(groups), passed(inside)).otherwise(0)
-    return (group * width + rest).cast("long")
-
-
 @dataclass(frozen=True)
 class Layout:
     """How the rows of each key are spread over tasks.
@@ -100,10 +83,23 @@ class Layout:
             F.struct(*[F.lit(v).cast(t) for v, t in zip(row, kinds, strict=True)])
             for row in self.splits
         ]
-        number = _chunk_number(F.struct(*self.order), cuts)
+        position, last = F.struct(*self.order), len(cuts)
+        if last <= DIRECT_CUTS:
+            number = _halved(lambda i: position < cuts[i], last)
+        else:
+            # As one expression they would be more than Spark can compile, so a group of
+            # cuts is found first. No lambda functions: with them Spark mixes up the sides
+            # of later joins.
+            width = math.isqrt(last) + 1
+            ends = [*range(width - 1, last - 1, width), last - 1]
+            df = df.withColumn("_group", _halved(lambda i: position < cuts[ends[i]], len(ends)))
+            at = lambda i: F.get(F.array(*cuts), F.col("_group") * width + i)
+            inside = _halved(lambda i: F.coalesce(position < at(i), F.lit(True)), width)
+            number = F.when(F.col("_group") == len(ends), last).otherwise(F.col("_group") * width + inside)
+        number = number.cast("long")
         if self.keys:
             number = F.when(F.xxhash64(*self.keys).isin(list(self.hot)), number)
-        return df.withColumn(CHUNK, number)
+        return df.withColumn(CHUNK, number).drop("_group")
 
 
 def layout(

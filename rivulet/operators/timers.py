@@ -1,14 +1,17 @@
 """Event-time timers anchored at the first row of a group (batch).
 
 A row opens a timer when none is pending; later rows of the key join it until the
-watermark has reached its deadline, and the next row opens another. Which rows open
-one is a chain through the key's rows, so it is walked in order: partition by partition over
-sorted rows, with two numbers of state.
-
-The rows of a hot key are walked in chunks at once. A chunk is a function from the
-deadline pending when it is entered to the one pending when it is left. It is constant
-between few steps, as chains from different entries soon meet, so those steps are
-what one task folds along a hot key before all chunks are walked.
+watermark has reached its deadline, and the next row opens another. So every row has one
+possible successor: the first row that finds a watermark at or beyond its deadline. As the
+watermark only grows along a key's rows, successors are found by sorted search, and the
+rows that open a timer are those reached from the first one. They are marked by pointer
+doubling: with pointers that skip 1, 2, 4, ... openers a chain of n takes log n steps, each
+over all rows at once.
+
+The groups of ordinary keys lie whole in a task. The rows of a hot key are cut into chunks.
+In a chunk a chain ends at a row whose successor lies in a later chunk; its pointer leads to
+the end of the chain that its successor starts there. These pointers are a table, doubled by
+joins, whose marked rows are what is pending at the start of each chunk.
 """
 
 from __future__ import annotations
@@ -17,14 +20,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.time import interval, micros
 from rivulet.operators import ordered as o
-from rivulet.operators.batches import map_frames
+from rivulet.operators.batches import changes, map_frames, whole_groups
 from rivulet.operators.eventtime import with_watermark_before
+from rivulet.session import run_folder
 
 NONE_PENDING = -(2**62)
 
@@ -53,8 +57,9 @@ def anchored(
         )
         return _walk(opened, keys, seq).drop("_wm", "_due", "_due_in", "_anchor_in")
 
-    rows = plan.tag(rows)
-    entries = _entries(rows.where(F.col(o.CHUNK).isNotNull()), keys, seq)
+    # Read twice below.
+    rows = plan.tag(_kept(rows, "timer-rows"))
+    entries = _entries(rows.where(F.col(o.CHUNK).isNotNull()), keys, seq, plan.rows_per_chunk)
     match = F.col(o.CHUNK) == F.col("_key_chunk")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
@@ -67,77 +72,152 @@ def anchored(
     return walked.drop("_wm", "_due", "_due_in", "_anchor_in", o.CHUNK)
 
 
+def _after(group: np.ndarray, found: np.ndarray, due: np.ndarray) -> np.ndarray:
+    """The first row of the group that finds the watermark at ``due``; n where there is none.
+
+    Groups are numbered in order and ``found`` grows inside a group.
+    """
+    n = len(group)
+    values = np.unique(np.concatenate([found, due]))
+    width = len(values) + 1
+    line = group * width + np.searchsorted(values, found)
+    after = np.searchsorted(line, group * width + np.searchsorted(values, due))
+    return np.where(after < np.searchsorted(group, group, side="right"), after, n)
+
+
+def _reached(starts: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Rows on the chains from ``starts``, by doubling pointers."""
+    n = len(after)
+    pointer, marked = np.append(after, n), np.zeros(n + 1, bool)
+    marked[starts] = True
+    while (pointer[:n] < n).any():
+        marked[pointer[np.flatnonzero(marked[:n])]] = True
+        pointer = pointer[pointer]
+    return marked[:n]
+
+
+def _ends(after: np.ndarray) -> np.ndarray:
+    """The last row of the chain from each row, by doubling pointers."""
+    n = len(after)
+    pointer = np.where(after < n, after, np.arange(n))
+    while True:
+        further = pointer[pointer]
+        if (further == pointer).all():
+            return pointer
+        pointer = further
+
+
+def _long(rows: pd.DataFrame, column: str) -> np.ndarray:
+    return rows[column].to_numpy(np.int64)
+
+
 def _walk(rows: DataFrame, group: Sequence[str], seq: str) -> DataFrame:
-    """Walk sorted partitions; a batch may hold many groups and a group many batches."""
+    """Add anchor and deadline to rows whose groups, or chunks of groups, are small enough."""
     group = list(group)
-    schema = T.StructType(
-        [*rows.schema.fields, T.StructField("anchor", T.LongType()), T.StructField("deadline", T.LongType())]
-    )
+    longs = [T.StructField("anchor", T.LongType()), T.StructField("deadline", T.LongType())]
+    schema = T.StructType([*rows.schema.fields, *longs])
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, pending, anchor = None, NONE_PENDING, None
-        for batch in batches:
-            anchors, deadlines = [], []
-            # Nulls as None, which equals itself; NaN would start a group at every row.
-            names = list(zip(*[batch[g].astype(object).where(batch[g].notna(), None) for g in group]))
-            columns = (batch[c].tolist() for c in (seq, "_wm", "_due", "_due_in", "_anchor_in"))
-            for name, s, found, due, due_in, anchor_in in zip(names, *columns):
-                if name != current:
-                    current, pending, anchor = name, due_in, anchor_in
-                if found >= pending:
-                    pending, anchor = due, s
-                anchors.append(anchor)
-                deadlines.append(pending)
-            yield batch.assign(
-                anchor=pd.array(anchors, dtype="Int64"), deadline=pd.array(deadlines, dtype="Int64")
-            )
+        for part in whole_groups(batches, group):
+            new = changes(part, group)
+            number = np.cumsum(new) - 1
+            first = np.flatnonzero(new)
+            found, due, due_in = (_long(part, c) for c in ("_wm", "_due", "_due_in"))
+            # The first row that finds the timer pending at the start gone.
+            starts = _after(number, found, due_in)[first]
+            opens = _reached(starts[starts < len(part)], _after(number, found, due))
+            opener = np.maximum.accumulate(np.where(opens, np.arange(len(part)), -1))
+            own = opener >= first[number]
+            anchor = part["_anchor_in"].astype("Int64").where(~own, part[seq].take(opener).to_numpy())
+            yield part.assign(anchor=anchor, deadline=np.where(own, due[opener], due_in))
 
     # Partitioned and sorted on the same columns, so each task sees whole groups in order.
     parts = rows.repartition(*group).sortWithinPartitions(*group, seq)
     return map_frames(parts, task, schema)
 
 
-def _entries(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: its lineage ends there."""
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _entries(rows: DataFrame, keys: Sequence[str], seq: str, limit: int) -> DataFrame:
     """The timer pending at the start of every chunk of the hot keys."""
     keys = list(keys)
-    key_fields = rows.select(*keys, o.CHUNK).schema.fields
-    longs = [T.StructField(n, T.LongType()) for n in ("upto", "due_out", "anchor_out")]
-
-    def steps(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq, ignore_index=True)
-        found, due, seqs = (pdf[c].to_numpy() for c in ("_wm", "_due", seq))
-        # The row that opens the next timer after each row's own.
-        after = np.searchsorted(found, due)
-        leaves = np.empty(len(pdf), dtype=np.int64)
-        for i in range(len(pdf) - 1, -1, -1):
-            leaves[i] = i if after[i] == len(pdf) else leaves[after[i]]
-        ends = np.append(leaves[1:] != leaves[:-1], True)
-        out = pdf.loc[ends, [*keys, o.CHUNK]]
-        left = leaves[ends]
-        return out.assign(upto=found[ends], due_out=due[left], anchor_out=seqs[left])
-
     narrow = rows.select(*keys, o.CHUNK, seq, "_wm", "_due")
-    summary = narrow.groupBy(*keys, o.CHUNK).applyInPandas(
-        steps, T.StructType([*key_fields, *longs])
-    )
+    schema = T.StructType([*narrow.schema.fields, T.StructField("_end", T.LongType())])
+    group = [*keys, o.CHUNK]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pending, anchor, out = NONE_PENDING, None, []
-        for chunk, part in pdf.sort_values([o.CHUNK, "upto"]).groupby(o.CHUNK, sort=True):
-            out.append((chunk, pending, anchor))
-            i = int(np.searchsorted(part["upto"].to_numpy(), pending))
-            if i < len(part):
-                pending = int(part["due_out"].iloc[i])
-                anchor = int(part["anchor_out"].iloc[i])
-        result = pd.DataFrame(out, columns=["_key_chunk", "_due_in", "_anchor_in"])
-        result["_anchor_in"] = result["_anchor_in"].astype("Int64")
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in whole_groups(batches, group):
+            number = np.cumsum(changes(part, group)) - 1
+            found, due, seqs = (_long(part, c) for c in ("_wm", "_due", seq))
+            yield part.assign(_end=seqs[_ends(_after(number, found, due))])
+
+    parts = narrow.repartition(*group).sortWithinPartitions(*group, seq)
+    steps = _kept(map_frames(parts, task, schema), "timer-chunks").withColumnRenamed(seq, "_seq")
+
+    def same(left: DataFrame, right: DataFrame, column: str, other: str) -> Column:
+        match = left[column] == right[other]
         for k in keys:
-            result[f"_key_{k}"] = pdf[k].iloc[0]
-        return result[[*[f"_key_{k}" for k in keys], "_key_chunk", "_due_in", "_anchor_in"]]
+            match = match & left[k].eqNullSafe(right[f"_to_{k}"])
+        return match
+
+    def pointed(table: DataFrame, **columns: str) -> DataFrame:
+        return table.select(
+            *[F.col(k).alias(f"_to_{k}") for k in keys], *[F.col(c).alias(n) for n, c in columns.items()]
+        )
+
+    # Rows that end their chunk's chain look for the first row that finds their deadline,
+    # among all rows of the key by the watermark they find.
+    chain_end = F.col("_seq") == F.col("_end")
+    asks = steps.where(chain_end).select(
+        *keys, F.col("_due").alias("_at"), F.lit(0).alias("_kind"), "_seq", F.lit(None).cast("long").alias("_to")
+    )
+    told = steps.select(*keys, F.col("_wm").alias("_at"), F.lit(1).alias("_kind"), "_seq", F.col("_end").alias("_to"))
+    step = {"_next": o.last_seen(F.when(F.col("_kind") == 1, F.col("_to")), before=True)}
+    found = o.running(
+        asks.unionByName(told), keys, ["_at", "_kind", "_seq"], step, reverse=True, rows_per_chunk=limit
+    )
+    pointers = _kept(
+        found.where("_kind = 0 and _next is not null").select(*keys, "_seq", "_next"), "timer-pointers"
+    )
 
-    fields = [T.StructField(f"_key_{f.name}", f.dataType) for f in key_fields[:-1]]
-    fields += [T.StructField(n, T.LongType()) for n in ("_key_chunk", "_due_in", "_anchor_in")]
-    return summary.groupBy(*keys).applyInPandas(fold, T.StructType(fields))
+    # What the first row of each key leads to is reached; pointers double until none is left.
+    starts = steps.groupBy(*keys).agg(F.min_by("_end", "_seq").alias("_seq"))
+    reached = _kept(starts, "timer-reached")
+    while not pointers.isEmpty():
+        hop = pointed(pointers, _from="_seq", _hop="_next")
+        further = reached.join(hop, same(reached, hop, "_seq", "_from")).select(
+            *[reached[k] for k in keys], F.col("_hop").alias("_seq")
+        )
+        reached = _kept(reached.unionByName(further).distinct(), "timer-reached")
+        pointers = _kept(
+            pointers.join(hop, same(pointers, hop, "_next", "_from")).select(
+                *[pointers[k] for k in keys], pointers["_seq"], F.col("_hop").alias("_next")
+            ),
+            "timer-pointers",
+        )
+
+    # Of each chunk at most one chain end is reached; a chunk takes the latest before it.
+    mark = pointed(reached, _marked="_seq")
+    ends = steps.where(chain_end)
+    pending = ends.join(mark, same(ends, mark, "_seq", "_marked")).select(
+        *[ends[k] for k in keys], ends[o.CHUNK], F.struct(ends["_due"].alias("due"), ends["_seq"].alias("seq")).alias("_p")
+    )
+    chunks = steps.select(*keys, o.CHUNK).distinct().withColumn("_p", F.lit(None).cast("struct<due:bigint,seq:bigint>"))
+    # One row per chunk of a key here.
+    one = chunks.unionByName(pending).groupBy(*keys, o.CHUNK).agg(F.max("_p").alias("_p"))
+    earlier = Window.partitionBy(*keys).orderBy(o.CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    entry = one.withColumn("_in", F.last("_p", ignorenulls=True).over(earlier))
+    return entry.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col(o.CHUNK).alias("_key_chunk"),
+        F.col("_in.due").alias("_due_in"),
+        F.col("_in.seq").alias("_anchor_in"),
+    )
 
 
 def repeated_failures(

@@ -91,3 +91,25 @@ def test_only_summaries_reach_one_task(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert any("_chunk" in line.split("windowspecdefinition(")[1].split(" ")[0] for line in windows)
+
+
+@pytest.mark.parametrize("direct", [0, 3, 256])
+def test_chunks_by_one_search_and_by_two(spark, monkeypatch, direct):
+    monkeypatch.setattr(o, "DIRECT_CUTS", direct)
+    rows = _rows(3)
+    df = spark.createDataFrame(rows, "k string, seq long, v int")
+    plan = o.layout(df, [], ["v", "seq"], 7)
+    cuts = sorted(((v is not None, v or 0, s) for v, s in ((None if v is None else int(v), int(s)) for v, s in plan.splits)))
+    got = plan.tag(df)
+    assert got.columns == [*df.columns, o.CHUNK]
+    for r in got.collect():
+        assert r[o.CHUNK] == sum(c <= (r["v"] is not None, r["v"] or 0, r["seq"]) for c in cuts)
+    assert len(cuts) > 30
+
+
+def test_running_with_many_cuts(spark, monkeypatch):
+    monkeypatch.setattr(o, "DIRECT_CUTS", 4)
+    rows = _rows(4)
+    df = spark.createDataFrame(rows, "k string, seq long, v int")
+    got = o.running(df, ["k"], ["seq"], _values(), rows_per_chunk=7).collect()
+    assert {r["seq"]: tuple(r[n] for n in _values()) for r in got} == _expected(rows)
