@@ -74,6 +74,37 @@ def approx_distinct(
     return df.groupBy(*groups).agg(F.approx_count_distinct(value, error).alias(name))
 
 
+def bloom_distinct(
+    df: DataFrame,
+    groups: Sequence,
+    value: Column,
+    seq: str,
+    bits: int = 1 << 20,
+    hashes: int = 3,
+    name: str = "uv",
+) -> DataFrame:
+    """Distinct count per group by a Bloom filter: a value counts when, on its first arrival,
+    one of its ``hashes`` bits was not set yet.
+
+    Such a value is the first, by ``seq``, to set one of its bits. So the filter is a table of
+    its set bits with the value that set each, combined before the shuffle, at most ``bits``
+    rows a group; no task goes through a group's rows in order. A value whose bits others
+    had set is missed; none is counted twice.
+    """
+    first = df.groupBy(*groups, value.alias("_value")).agg(F.min(seq).alias("_first"))
+    first = first.where(F.col("_value").isNotNull())
+    names = [c for c in first.columns if c not in ("_value", "_first")]
+    text = F.col("_value").cast("string")
+    places = [
+        F.conv(F.substring(F.md5(F.concat(F.lit(f"{i}:"), text)), 1, 12), 16, 10).cast("long") % bits
+        for i in range(hashes)
+    ]
+    setting = first.select(*names, "_value", "_first", F.explode(F.array_distinct(F.array(*places))).alias("_bit"))
+    setter = F.min_by("_value", F.struct("_first", "_value")).alias("_value")
+    bit = setting.groupBy(*names, "_bit").agg(setter)
+    return bit.groupBy(*names).agg(F.countDistinct("_value").alias(name))
+
+
 def bitmap_distinct(df: DataFrame, groups: Sequence, value: Column, name: str = "uv") -> DataFrame:
     """Distinct count of one-hash bitmap positions per group.
 

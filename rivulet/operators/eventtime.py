@@ -50,6 +50,14 @@ def classify(
     millisecond before its end.
     """
     marked = with_watermark_before(df, rt, seq, bound, rows_per_chunk=rows_per_chunk)
+    return with_status(marked, rt, size, lateness, slide)
+
+
+def with_status(
+    marked: DataFrame, rt: str, size: str, lateness: str = "0 seconds", slide: str | None = None
+) -> DataFrame:
+    """:func:`classify` for rows that have ``wm_before``, which is taken out."""
+    columns = [c for c in marked.columns if c != "wm_before"]
     spread = marked.withColumn("_w", F.window(rt, size, slide))
     closing = epoch_micros(F.col("_w.end")) - 1000
     wm = F.col("wm_before")
@@ -59,7 +67,7 @@ def classify(
         .otherwise(LATE)
     )
     return spread.select(
-        *df.columns,
+        *columns,
         F.col("_w.start").alias("window_start"),
         F.col("_w.end").alias("window_end"),
         status.alias("status"),

@@ -216,7 +216,8 @@ def _local(run: Running, window) -> Column:
     return F.last(v, ignorenulls=True).over(frame)
 
 
-def _partial(run: Running, position: Column, reverse: bool) -> Column:
+def partial(run: Running, position: Column, reverse: bool = False) -> Column:
+    """What a chunk of rows leaves behind for the rows after it."""
     v = run.value
     early, late = (F.max_by, F.min_by) if reverse else (F.min_by, F.max_by)
     if run.kind == "sum":
@@ -244,7 +245,8 @@ def _prefix(run: Running, part: str, earlier) -> Column:
     return F.last(part, ignorenulls=True).over(earlier)
 
 
-def _combine(run: Running, carry: Column, local: Column) -> Column:
+def combine(run: Running, carry: Column, local: Column) -> Column:
+    """A value inside a chunk with what earlier chunks left behind."""
     if run.kind == "sum":
         return F.coalesce(carry + local, local, carry)
     if run.kind == "count":
@@ -301,7 +303,7 @@ def running(
     parts = (
         tagged.where(F.col(CHUNK).isNotNull())
         .groupBy(*keys, CHUNK)
-        .agg(*[_partial(r, position, reverse).alias(f"_part_{n}") for n, r in values.items()])
+        .agg(*[partial(r, position, reverse).alias(f"_part_{n}") for n, r in values.items()])
     )
     toward = F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
     # One row per chunk here, at most MAX_CHUNKS per key.
@@ -320,7 +322,7 @@ def running(
     return joined.select(
         *df.columns,
         *[
-            _finish(r, _combine(r, F.col(f"_carry_{n}"), F.col(f"_local_{n}"))).alias(n)
+            _finish(r, combine(r, F.col(f"_carry_{n}"), F.col(f"_local_{n}"))).alias(n)
             for n, r in values.items()
         ],
     )

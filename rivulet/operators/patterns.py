@@ -48,7 +48,8 @@ def match_pattern(
     Every row that meets the first condition starts its own match. ``matches`` has one
     column per stage: the row as a struct, or an array of rows for a stage with
     ``times``. All rows of a match lie strictly less than ``within`` apart. ``timeouts`` has
-    the stages found in time and ``timeout_ts``, the start plus ``within``. An empty ``key``
+    the stages found in time and ``timeout_ts``, the start plus ``within``. Without
+    ``followed_by_any`` there is ``waiting``: the starts (``_first``) neither matched nor broken. An empty ``key``
     takes the whole table as one sequence, still split over tasks. Rows with a null key
     belong to no sequence.
     """
@@ -71,6 +72,7 @@ def match_pattern(
         return {
             "matches": chains[0]["matches"].drop("_first", "_last"),
             "timeouts": chains[0]["timeouts"],
+            "waiting": chains[0]["waiting"],
         }
     matches = chains[0]["matches"]
     partial = chains[0]["matches"]
@@ -189,7 +191,8 @@ def _chain(df, key, time, seq, stages, within, plan) -> dict[str, DataFrame]:
     )
     if within is None:
         timeouts = timeouts.where(F.lit(False))
-    return {"matches": matches, "timeouts": timeouts}
+    waiting = walked.where(f"not _ok{last} and not _broken").select(*key, "_first")
+    return {"matches": matches, "timeouts": timeouts, "waiting": waiting}
 
 
 def _first_groups(starts, rows, key, stages, seq, last):

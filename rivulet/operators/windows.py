@@ -190,22 +190,94 @@ def count_sliding(
     seq: str,
     size: int,
     slide: int,
-    aggs: Sequence[Column],
+    values: dict[str, Column | o.Running],
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
-    """After every ``slide`` rows of a key, aggregates over its last ``size`` rows at most.
+    """After every ``slide`` rows of a key, ``values`` over its last ``size`` rows at most.
 
-    A row belongs to ``size / slide`` firings; they are grouped by firing number, so a
-    hot key spreads over tasks and combines before the shuffle.
+    Running sums and counts (``ordered.running_sum``, ``running_count``) are differences: a
+    firing's row meets the one row that stands ``size`` rows before it, by key and row number,
+    so hot keys spread and no row is copied. Other aggregates (columns) are taken over a frame
+    of rows; hot keys are cut into blocks by row number, and each block also gets the last
+    ``size - 1`` rows of the one before. Neither depends on ``size / slide``.
     """
-    numbered = o.running(df, keys, [seq], {"_rn": o.running_count()}, rows_per_chunk=rows_per_chunk)
-    first = F.ceil(F.col("_rn") / slide)
-    last = F.floor((F.col("_rn") + (size - 1)) / slide)
-    copies = numbered.where(last >= first).withColumn("firing", F.explode(F.sequence(first, last)))
-    # A firing happens only once its closing row has arrived.
-    closing = F.max(F.when(F.col("_rn") == F.col("firing") * slide, 1))
-    grouped = copies.groupBy(*keys, "firing").agg(closing.alias("_closed"), *aggs)
-    return grouped.where(F.col("_closed") == 1).drop("_closed")
+    plan = o.layout(df, keys, [seq], rows_per_chunk)
+    if all(isinstance(v, o.Running) for v in values.values()):
+        return _count_sliding_sums(df, keys, seq, size, slide, values, plan)
+    numbered = o.running(df, keys, [seq], {"_rn": o.running_count()}, plan=plan)
+    group = list(keys)
+    own = F.lit(True)
+    if plan.chunked:
+        block = max(plan.rows_per_chunk, size)
+        at = F.floor((F.col("_rn") - 1) / block)
+        rows = numbered.withColumn("_block", at).withColumn("_own", F.lit(True))
+        tail = rows.where((F.col("_rn") - 1) % block > block - size)
+        numbered = rows.unionByName(tail.withColumn("_block", at + 1).withColumn("_own", F.lit(False)))
+        group, own = [*keys, "_block"], F.col("_own")
+    frame = Window.partitionBy(*group).orderBy("_rn").rowsBetween(1 - size, 0)
+    out = numbered.select("*", *[v.over(frame).alias(n) for n, v in values.items()])
+    return out.where(own & (F.col("_rn") % slide == 0)).select(
+        *keys, (F.col("_rn") / slide).cast("long").alias("firing"), *values
+    )
+
+
+def _count_sliding_sums(df, keys, seq, size, slide, values, plan) -> DataFrame:
+    if any(v.kind not in ("sum", "count") or v.before for v in values.values()):
+        raise ValueError("only running sums and counts are differences")
+    known = {f"_n_{n}": o.running_count(v.value) for n, v in values.items() if v.kind == "sum"}
+    rows = o.running(df, keys, [seq], {"_rn": o.running_count(), **values, **known}, plan=plan)
+    ends = rows.where(F.col("_rn") % slide == 0).select(*keys, "_rn", *values, *known)
+    starts = rows.where((F.col("_rn") + size) % slide == 0).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        (F.col("_rn") + size).alias("_end"),
+        *[F.col(n).alias(f"_less_{n}") for n in (*values, *known)],
+    )
+    match = F.col("_rn") == F.col("_end")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+
+    def since(n: str) -> Column:
+        return F.col(n) - F.coalesce(f"_less_{n}", F.lit(0))
+
+    # A window without any value has no sum.
+    total = {
+        n: F.when(since(f"_n_{n}") > 0, since(n)) if v.kind == "sum" else since(n) for n, v in values.items()
+    }
+    return ends.join(starts, match, "left").select(
+        *keys,
+        (F.col("_rn") / slide).cast("long").alias("firing"),
+        *[c.alias(n) for n, c in total.items()],
+    )
+
+
+def rows_at_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    rt: str,
+    size: str,
+    order: Sequence[str],
+    rank: Column,
+    rows_per_chunk: int | None = None,
+) -> DataFrame:
+    """Of each key and tumbling window the row whose place in ``order``, from 1, is ``rank``,
+    an expression over ``cnt``, the window's rows: an exact median, say. ``order`` is unique.
+
+    Places are running counts, which cut a hot window into chunks; no window is held whole.
+    Added: ``window_start``, ``window_end``, ``cnt``.
+    """
+    stamped = df.withColumn("_w", F.window(rt, size)).select(
+        *df.columns, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")
+    )
+    group = [*keys, "window_start", "window_end"]
+    plan = o.layout(stamped, group, order, rows_per_chunk)
+    placed = o.running(stamped, group, order, {"_place": o.running_count()}, plan=plan)
+    sizes = stamped.groupBy(*group).agg(F.count("*").alias("cnt")).select(
+        *[F.col(g).alias(f"_k_{g}") for g in group], "cnt"
+    )
+    match = F.col("_place") == rank
+    for g in group:
+        match = match & F.col(g).eqNullSafe(F.col(f"_k_{g}"))
+    return placed.join(sizes, match).select(*df.columns, "window_start", "window_end", "cnt")
 
 
 def process_window(

@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.operators import joins
+from rivulet.operators import ordered as o
 from rivulet.operators import transforms as t
 from rivulet.operators import windows as w
+from rivulet.operators.patterns import NEXT, Stage
 from rivulet.plans.registry import SQL, events, query
 from rivulet.session import run_folder
 from rivulet.sources.streams import table_stream
+from rivulet.streaming import incremental as inc
 from rivulet.streaming import processors as p
 from rivulet.streaming import run
 
 
-def _stream(spark, sf_dir):
+def _stream(spark, sf_dir, *more):
     """Events as a stream, with ``rt`` as event time, ``ms`` and ``seq``."""
     schema = events(spark, sf_dir).schema
     stream = table_stream(spark, f"{sf_dir}/events.parquet", schema)
@@ -32,6 +35,7 @@ def _stream(spark, sf_dir):
         F.col("event_id").alias("seq"),
         rt.alias("rt"),
         F.unix_millis(rt).alias("ms"),
+        *more,
     )
 
 
@@ -113,9 +117,9 @@ def _processed(spark, stream, keys, processor, columns, name, time_mode="none"):
 )
 def stream_reduce(spark, sf_dir):
     stream = _stream(spark, sf_dir).select("user_id", "seq", "value")
-    return _processed(
-        spark, stream, ["user_id"], p.Reduce("value", "double", max), "seq long, highest double", "reduce"
-    )
+    values = {"highest": o.running_max(F.col("value"))}
+    out = inc.collect_incremental(spark, stream, "reduce", inc.RunningValues, ["user_id"], "seq", values)
+    return out.drop("value")
 
 
 @query(
@@ -124,14 +128,10 @@ def stream_reduce(spark, sf_dir):
 )
 def stream_distinct(spark, sf_dir):
     stream = _stream(spark, sf_dir).select("event_type", "seq", "user_id")
-    return _processed(
-        spark,
-        stream,
-        ["event_type"],
-        p.Distinct("user_id", "long"),
-        "seq long, distinct_count long",
-        "distinct",
+    out = inc.collect_incremental(
+        spark, stream, "distinct", inc.DistinctSoFar, ["event_type"], "seq", "user_id"
     )
+    return out.drop("user_id")
 
 
 @query(
@@ -141,26 +141,15 @@ def stream_distinct(spark, sf_dir):
 )
 def stream_previous(spark, sf_dir):
     stream = _stream(spark, sf_dir).select("user_id", "seq", "value")
-    return _processed(
-        spark,
-        stream,
-        ["user_id"],
-        p.Previous("value", "double"),
-        "seq long, value double, last_value double",
-        "previous",
-    )
+    values = {"last_value": o.previous(F.col("value"))}
+    return inc.collect_incremental(spark, stream, "previous", inc.RunningValues, ["user_id"], "seq", values)
 
 
 @query("stream_count_window", SQL["count_window_sliding"])
 def stream_count_window(spark, sf_dir):
     stream = _stream(spark, sf_dir).select("user_id", "seq", "event_id")
-    return _processed(
-        spark,
-        stream,
-        ["user_id"],
-        p.CountWindow("event_id", 5, 2),
-        "firing long, total long",
-        "count_window",
+    return inc.collect_incremental(
+        spark, stream, "count_window", inc.CountWindows, ["user_id"], "seq", "event_id", 5, 2
     )
 
 
@@ -170,8 +159,92 @@ def stream_count_window(spark, sf_dir):
 )
 def stream_retract(spark, sf_dir):
     stream = _stream(spark, sf_dir).select("event_type", "seq")
-    columns = "seq long, is_add boolean, cnt long"
-    return _processed(spark, stream, ["event_type"], p.RetractCount(), columns, "retract")
+    counts = {"_n": o.running_count()}
+    out = inc.collect_incremental(spark, stream, "retract", inc.RunningValues, ["event_type"], "seq", counts)
+    # The old count goes, the new one comes.
+    change = lambda add, n: F.struct(F.lit(add).alias("is_add"), n.alias("cnt"))
+    n = F.col("_n")
+    new = F.array(change(True, n))
+    both = F.when(n > 1, F.array(change(False, n - 1), change(True, n))).otherwise(new)
+    return out.select("event_type", "seq", F.inline(both))
+
+
+@query("stream_lateness_firings", SQL["lateness_firings"])
+def stream_lateness_firings(spark, sf_dir):
+    delay = (F.col("event_id") * 7919 % 7200) * 1_000_000
+    arrival = (F.unix_micros("rt") + delay) * 1000 + F.col("event_id") % 1000
+    stream = _stream(spark, sf_dir).select("event_type", "rt", arrival.alias("seq"))
+    out = inc.collect_incremental(
+        spark, stream, "firings", inc.Firings, ["event_type"], "rt", "seq", "1 hour", "1 hour", "10 minutes"
+    )
+    return _ntz(out, "window_start", "window_end")
+
+
+def _patterns(spark, sf_dir, stages, within=None):
+    stream = _stream(spark, sf_dir).select("user_id", "event_type", "rt", "seq")
+    return inc.collect_incremental(
+        spark, stream, "patterns", inc.Patterns, ["user_id"], "rt", "seq", stages, within
+    )
+
+
+def _found(out, kind, *names):
+    ids = [F.col(f"{n}.seq").alias(f"{n}_id") for n in names]
+    return out.where(F.col("kind") == kind).select("user_id", *ids)
+
+
+def _is(kind):
+    return F.col("event_type") == kind
+
+
+def _clicks_then_purchases(spark, sf_dir):
+    stages = [Stage("start", _is("click")), Stage("then", _is("purchase"))]
+    return _patterns(spark, sf_dir, stages, "6 hours")
+
+
+@query("stream_cep_next", SQL["cep_next"])
+def stream_cep_next(spark, sf_dir):
+    stages = [Stage("start", _is("error")), Stage("then", _is("error"), NEXT)]
+    return _found(_patterns(spark, sf_dir, stages), "match", "start", "then")
+
+
+@query("stream_cep_followed_by", SQL["cep_followed_by"])
+def stream_cep_followed_by(spark, sf_dir):
+    return _found(_clicks_then_purchases(spark, sf_dir), "match", "start", "then")
+
+
+@query("stream_cep_timeouts", SQL["cep_timeouts"])
+def stream_cep_timeouts(spark, sf_dir):
+    out = _clicks_then_purchases(spark, sf_dir).where("kind = 'timeout'")
+    return _ntz(out.select("user_id", F.col("start.seq").alias("start_id"), "timeout_ts"), "timeout_ts")
+
+
+@query("stream_hot_items_topn", SQL["hot_items_topn"])
+def stream_hot_items_topn(spark, sf_dir):
+    views = _stream(spark, sf_dir, "props").where(_is("view"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    items = views.select("rt", F.floor(k / 10).cast("int").alias("item"))
+    out = inc.collect_incremental(
+        spark, items, "hot_items", inc.TopWindows, "item", "rt", "1 hour", "5 minutes", 3
+    )
+    return _ntz(out, "window_end")
+
+
+@query("stream_over_range_count", SQL["over_range_count"])
+def stream_over_range_count(spark, sf_dir):
+    day = F.date_trunc("day", "rt").alias("rt")
+    stream = _stream(spark, sf_dir).select("user_id", "event_id", day)
+    out = inc.collect_incremental(spark, stream, "over", inc.OverRange, ["user_id"], "rt", "user_id", "cnt")
+    return out.select("user_id", "event_id", "cnt")
+
+
+@query("stream_reconcile_unmatched", SQL["reconcile_unmatched"])
+def stream_reconcile_unmatched(spark, sf_dir):
+    """Clicks and purchases that wait at the end of the input."""
+    sides = _stream(spark, sf_dir).where("event_type in ('click', 'purchase')")
+    stream = sides.select("user_id", "seq", "rt", _is("click").alias("is_left"))
+    out = inc.collect_incremental(spark, stream, "unmatched", inc.Waiting, ["user_id"], "seq")
+    alone = out.where(F.col("left").isNull() | F.col("right").isNull())
+    return alone.select("user_id", F.coalesce("left", "right").alias("event_id"), F.col("left").isNotNull().alias("is_click"))
 
 
 @query("stream_reconcile", SQL["reconcile_connect"])

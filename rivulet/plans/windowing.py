@@ -128,8 +128,21 @@ def count_window_tumbling(spark, sf_dir):
          from events) where rn % 2 = 0""",
 )
 def count_window_sliding(spark, sf_dir):
-    total = F.sum("event_id").alias("total")
-    return w.count_sliding(events(spark, sf_dir), ["user_id"], "event_id", 5, 2, [total])
+    total = {"total": o.running_sum(F.col("event_id"))}
+    return w.count_sliding(events(spark, sf_dir), ["user_id"], "event_id", 5, 2, total)
+
+
+@query(
+    "count_window_sliding_max",
+    """select user_id, rn // 20 as firing, highest from (
+         select user_id, row_number() over (partition by user_id order by event_id) as rn,
+                max(value) over (partition by user_id order by event_id
+                                 rows between 99 preceding and current row) as highest
+         from events) where rn % 20 = 0""",
+)
+def count_window_sliding_max(spark, sf_dir):
+    e = events(spark, sf_dir).select("user_id", "event_id", "value")
+    return w.count_sliding(e, ["user_id"], "event_id", 100, 20, {"highest": F.max("value")})
 
 
 @query("window_all", hop("events", "", 3600, 3600, "count(*) as cnt"))
@@ -142,17 +155,11 @@ def window_all(spark, sf_dir):
     hop("events", "event_type", 86400, 86400, "count(*) as cnt, quantile_disc(event_id, 0.5) as middle"),
 )
 def whole_window(spark, sf_dir):
-    """A function of all rows of a window: the middle id, for which they are held together."""
-
-    def middle(key, batches):
-        ids = pd.concat([b["event_id"] for b in batches]).sort_values()
-        row = {"event_type": key[0], "window_start": key[1], "window_end": key[2], "cnt": len(ids)}
-        yield pd.DataFrame([row | {"middle": ids.iloc[(len(ids) - 1) // 2]}])
-
-    schema = "event_type string, window_start timestamp_ntz, window_end timestamp_ntz, cnt long, middle long"
-    return w.process_window(
-        events(spark, sf_dir).select("event_type", "event_id", "ts"), ["event_type"], "ts", "1 day", middle, schema
-    )
+    """A function of all rows of a window, the middle id, without holding them together."""
+    e = events(spark, sf_dir).select("event_type", "event_id", "ts")
+    middle = F.floor((F.col("cnt") + 1) / 2)
+    found = w.rows_at_rank(e, ["event_type"], "ts", "1 day", ["event_id"], middle)
+    return found.select("event_type", "window_start", "window_end", "cnt", F.col("event_id").alias("middle"))
 
 
 @query(

@@ -63,7 +63,7 @@ def test_sliding_five_by_two_seconds(sensors):
 
 
 def test_count_window_five_by_two(sensors):
-    got = w.count_sliding(sensors, ["id"], "seq", 5, 2, [F.count("*").alias("n")]).collect()
+    got = w.count_sliding(sensors, ["id"], "seq", 5, 2, {"n": F.count("*")}).collect()
     assert sorted((r["id"][-1], r["n"]) for r in got) == [("1", 2), ("1", 4), ("2", 2), ("3", 2)]
 
 

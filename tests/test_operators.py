@@ -79,12 +79,14 @@ def test_count_windows(spark, limit):
         (k, i // 4 + 1): sum(vs[i : i + 4]) for k, vs in by_key.items() for i in range(0, len(vs) - 3, 4)
     }
     for size, slide in ((5, 2), (2, 5)):
-        sliding = w.count_sliding(df, ["k"], "seq", size, slide, [total], rows_per_chunk=limit)
-        assert {(r["k"], r["firing"]): r["total"] for r in sliding.collect()} == {
-            (k, n // slide): sum(vs[max(0, n - size) : n])
-            for k, vs in by_key.items()
-            for n in range(slide, len(vs) + 1, slide)
-        }
+        for value in (F.sum("v"), o.running_sum(F.col("v"))):
+            sliding = w.count_sliding(df, ["k"], "seq", size, slide, {"total": value}, rows_per_chunk=limit)
+            assert "Generate" not in sliding._jdf.queryExecution().executedPlan().toString()
+            assert {(r["k"], r["firing"]): r["total"] for r in sliding.collect()} == {
+                (k, n // slide): sum(vs[max(0, n - size) : n])
+                for k, vs in by_key.items()
+                for n in range(slide, len(vs) + 1, slide)
+            }
 
 
 def test_panes_equal_row_expansion(spark):
