@@ -4,14 +4,16 @@ A document is the set of its distinct five-word shingles (A-Z lower-cased; fewer
 the whole sequence). Two sets link at a Jaccard similarity of 0.8 or more. Documents of
 equal sets are one class, which is compared once.
 
-Similar sets share a shingle among their first ``n - ceil(0.8 n) + 1`` in any common
-order, here that of a hash. A shingle that many documents share (a licence, a quoted
-passage) would make that prefix costly: its estimated number of candidates counts. Each
-costly shingle in a document's prefix lengthens the prefix by one and raises the number
-of shared shingles it requires by one; as at most the costly ones can be shared cheaply,
-one of the others must be, and only these are looked up. Before verification a pair must
-share as many prefix shingles as its positions leave necessary: the shared ones plus all
-that can follow have to reach the overlap that the similarity asks for.
+The shingles of all documents have one order, that of a hash, with those at its end that
+many documents share (a licence, a quoted passage). Of two similar sets the first ``n -
+ceil(0.8 n) + l`` shingles have at least l in common, for any l. Every document first looks up
+its prefix with l = 1, and pairs whose positions leave the overlap possible that the similarity
+asks for (the shared ones plus all that can follow) give each document its number of
+candidates. A document without any is done. The others choose their l by cost: a longer
+prefix is that many more shingles to compare, a higher l makes ever fewer of the candidates
+meet it, so l grows with the root of their number, to at most three times the prefix. The
+chosen prefixes of candidates are compared as short signatures, and a pair is verified only
+if it shares as many prefix shingles as the smaller of its two l asks for.
 
 Where a document has too few other shingles (a member of a large group of near copies),
 its costly shingles are looked up too, among such documents. Their lists are not paired
@@ -31,14 +33,16 @@ columns are left out. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rivulet.llm.common import blocks, buffers, mix, session, text_of, word_hashes, written
+from rivulet.llm.common import WORD, blocks, buffers, mix, session, text_of, word_hashes, written
 from rivulet.llm.components import connected_components
 
 WORDS = 5
@@ -47,17 +51,20 @@ NUM, DEN = 4, 5
 PART_TOKENS = 4_000_000
 COSTLY = 32
 MAX_COSTLY = 1 << 20
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 26
 FLUSH = 1_000_000
 HALF = 1 << 31
 
 # Of a costly list, this many of its most typical documents lead it.
 LEADERS = 3
 LISTED = 2
+# The text of a shingle weighs about as much as this many entries of a signature.
+VERIFY = 3
 # Bits of a set's sketch, in 64-bit words.
 SKETCH = [f"sketch{i}" for i in range(16)]
 
 POSTING = "token long, size_place long, k long"
+SETS = ["doc_id", "h", "h2", "n", "k", "k2", "token", "seen"]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -114,7 +121,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
 
 
 def documents_sets(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, n, k, k2), and rows (token, seen) of repeated shingles."""
+    """One row per document (doc_id, h, h2, n, k, k2), and rows (token, seen) of repeated
+    shingles."""
 
     def run(batches):
         pool, pooled, known = [], 0, set()
@@ -125,8 +133,8 @@ def documents_sets(docs: DataFrame) -> DataFrame:
             tokens, seen = tokens[many].view(np.int64), seen[many].astype(np.int32)
             nulls = pa.nulls(len(tokens), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [nulls, nulls.cast(pa.int32()), nulls, nulls, pa.array(tokens), pa.array(seen)],
-                ["doc_id", "n", "k", "k2", "token", "seen"],
+                [nulls, nulls, nulls, nulls.cast(pa.int32()), nulls, nulls, pa.array(tokens), pa.array(seen)],
+                SETS,
             )
 
         for batch, sets in _sets(batches):
@@ -135,13 +143,15 @@ def documents_sets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("h"),
+                    batch.column("h2"),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([a for a, _ in keys], pa.int64()),
                     pa.array([b for _, b in keys], pa.int64()),
                     nulls,
                     nulls.cast(pa.int32()),
                 ],
-                ["doc_id", "n", "k", "k2", "token", "seen"],
+                SETS,
             )
             for key, s in zip(keys, sets, strict=True):
                 if len(s) and key not in known:
@@ -154,7 +164,7 @@ def documents_sets(docs: DataFrame) -> DataFrame:
         if pool:
             yield counted()
 
-    return docs.mapInArrow(run, "doc_id long, n int, k long, k2 long, token long, seen int")
+    return docs.mapInArrow(run, ", ".join(f"{c} {'int' if c in ('n', 'seen') else 'long'}" for c in SETS))
 
 
 def postings(docs: DataFrame, costly: np.ndarray) -> DataFrame:
@@ -200,6 +210,68 @@ def postings(docs: DataFrame, costly: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, POSTING)
 
 
+def required(n: int, prefix: int, cheap: int, cost: int) -> int:
+    """How many prefix shingles a document asks for: l, of which ``l + VERIFY * n * cost / l``
+    is least, as far as its cheap shingles and three times its prefix go."""
+    return max(1, min(math.isqrt(VERIFY * n * cost), 2 * prefix, cheap - prefix + 1))
+
+
+def signatures(texts: DataFrame, costly: np.ndarray) -> DataFrame:
+    """The chosen prefixes of (doc_id, text, cost): two bytes of the hash of each shingle.
+
+    A document with costly shingles in its first prefix has all its cheap ones in it.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(costly)
+
+    def run(batches):
+        dear = sent.value
+        for batch, sets in _sets(batches):
+            asks, signs = [], []
+            for cost, s in zip(batch.column("cost").to_pylist(), sets, strict=True):
+                n, p = len(s), prefix_length(len(s))
+                if len(dear):
+                    at = np.searchsorted(dear, s)
+                    at[at == len(dear)] = 0
+                    s = s[dear[at] != s]
+                asks.append(required(n, p, len(s), cost))
+                signs.append(np.sort(s[: p + asks[-1] - 1].astype(np.uint16)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(asks, pa.int32()), pa.array(signs, pa.binary())],
+                ["doc_id", "asked", "sign"],
+            )
+
+    return texts.mapInArrow(run, "doc_id long, asked int, sign binary")
+
+
+def in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many entries two sorted arrays share, repeated ones as often as both have them."""
+    # The k-th of equal entries counts as an entry of its own.
+    rank = lambda x: (x.astype(np.int64) << 32) + np.arange(len(x)) - np.searchsorted(x, x)
+    return len(np.intersect1d(rank(a), rank(b), assume_unique=True))
+
+
+def matching(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs that share as many prefix shingles as the smaller of their two l asks for.
+
+    Two bytes of a hash may agree by chance, which lets a pair pass and never stops one.
+    """
+
+    def run(batches):
+        for batch in batches:
+            asked = np.minimum(batch.column("asked_a").to_numpy(), batch.column("asked_b").to_numpy())
+            rows = zip(asked.tolist(), batch.column("sign_a").to_pylist(), batch.column("sign_b").to_pylist(), strict=True)
+            keep = [in_common(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)) >= m for m, x, y in rows]
+            yield batch.select(["a", "b", "weight"]).filter(pa.array(keep, pa.bool_()))
+
+    def of(side: str) -> DataFrame:
+        return signs.select(
+            F.col("doc_id").alias(side), F.col("asked").alias(f"asked_{side}"), F.col("sign").alias(f"sign_{side}")
+        )
+
+    both = pairs.select("a", "b", "weight").join(of("a"), "a").join(of("b"), "b")
+    return both.mapInArrow(run, "a long, b long, weight double")
+
+
 class _Pairs:
     """Pairs of one task, combined before they leave it."""
 
@@ -419,13 +491,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     keep.append(DEN * both >= NUM * (len(x) + len(y) - both) and both > 0)
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+    pairs = pairs.select("a", "b")
+    needed = _only_needed(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
+    needed = written(needed, "ngram-needed")
+    a = needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    b = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
 def _only_needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of these ids. A bit table of fixed size keeps most others at home."""
+    """The texts of these ids, by a bit table of fixed size, which lets few others pass."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     words = (
         ids.select(bit("doc_id").alias("bit"))
@@ -445,15 +520,30 @@ def _only_needed(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield batch.select(["doc_id", "text"]).filter(pa.array(keep))
 
     near = docs.where("doc_id is not null").select("doc_id", "text", bit("doc_id").alias("bit"))
-    return near.mapInArrow(run, "doc_id long, text string").join(ids, "doc_id", "left_semi")
+    return near.mapInArrow(run, "doc_id long, text string")
+
+
+def _hashes() -> list[Column]:
+    """Two hashes that tell texts apart."""
+    return [F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2")]
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """For each row: doc_id, n_shingles, component_id."""
+    return _labelled(docs).select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    """For each row: doc_id, h, h2, n, k, k2, and of its class the smallest id (rep) and
+    the smallest that links reach (component)."""
     spark = session(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    seen = written(documents_sets(texts), "ngram-sets")
-    rows = seen.where("k is not null").select("doc_id", "n", "k", "k2")
+    seen = written(documents_sets(texts.select("*", *_hashes())), "ngram-sets")
+    rows = seen.where("k is not null").select("doc_id", "h", "h2", "n", "k", "k2")
     classes = written(
         rows.where("n > 0").groupBy("n", "k", "k2").agg(F.min("doc_id").alias("rep")),
         "ngram-classes",
@@ -468,53 +558,53 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "token", "size_place", "k"
     )
     found = written(candidates(listed), "ngram-candidates")
+    known = classes.where("rep is not null").select("k", F.col("n").cast("long").alias("n"), "rep")
     fits = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     enough = DEN_NUM * fits >= NUM * (F.col("na") + F.col("nb"))
-    kept = (
-        found.where(F.col("chained") < LISTED)
-        .groupBy("a", "b", "na", "nb")
-        .agg(
-            F.sum("shared").alias("shared"),
-            F.max("pa").alias("pa"),
-            F.max("pb").alias("pb"),
-            F.max("chained").alias("chained"),
-        )
-        .where((F.col("chained") == 1) | enough)
-    )
 
     def named(pairs: DataFrame) -> DataFrame:
         """Pairs of set keys as pairs of ids; keys that collide give both their ids."""
-        known = classes.where("rep is not null").select(F.col("k"), F.col("n").cast("long").alias("n"), "rep")
         a = known.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("rep").alias("x"))
         b = known.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("rep").alias("y"))
-        return (
-            pairs.join(a, ["a", "na"])
-            .join(b, ["b", "nb"])
-            .select(
-                F.least("x", "y").alias("a"),
-                F.greatest("x", "y").alias("b"),
-                (F.col("shared") / (F.col("na") + F.col("nb"))).alias("weight"),
-            )
+        return pairs.join(a, ["a", "na"]).join(b, ["b", "nb"]).where("x <> y").select(
+            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "shared", "na", "nb", "chained"
         )
 
-    pairs = written(named(kept), "ngram-pairs")
+    grouped = found.where(F.col("chained") < LISTED).groupBy("a", "b", "na", "nb").agg(
+        F.sum("shared").alias("shared"),
+        F.max("pa").alias("pa"),
+        F.max("pb").alias("pb"),
+        F.max("chained").alias("chained"),
+    )
+    near = written(named(grouped.where((F.col("chained") == 1) | enough)), "ngram-near")
+    led, loose = near.where("chained = 1"), near.where("chained = 0")
+    costs = written(
+        loose.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("cost")),
+        "ngram-costs",
+    )
     lists = None
+    ids = near.select(F.explode(F.array("a", "b")).alias("doc_id"))
     if len(costly):
         again = found.where(F.col("chained") == LISTED).select(
             F.col("a").alias("token"), F.col("b").alias("k"), F.col("na").alias("n"), F.col("pa").alias("pos")
         )
-        known = classes.where("rep is not null").select("k", F.col("n").cast("long").alias("n"), "rep")
         lists = written(
             again.join(known, ["k", "n"])
             .select("token", F.expr(f"shiftleft(n, 32) + pos + {HALF}L").alias("size_place"), F.col("rep").alias("k"))
             .distinct(),
             "ngram-lists",
         )
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    if lists is not None:
         ids = ids.unionByName(lists.select(F.col("k").alias("doc_id")))
     held = written(_only_needed(texts, ids.distinct()), "ngram-texts")
 
+    weight = (F.col("shared") / (F.col("na") + F.col("nb"))).alias("weight")
+    signs = written(signatures(held.join(costs, "doc_id"), costly), "ngram-signatures")
+    kept = matching(loose.select("a", "b", weight), signs)
+    pairs = written(
+        kept.unionByName(led.select("a", "b", weight)).groupBy("a", "b").agg(F.max("weight").alias("weight")),
+        "ngram-pairs",
+    )
+
     # First each document's best candidate, then what is still apart.
     ends = pairs.select(F.col("a").alias("d"), F.col("b").alias("e"), "weight").unionByName(
         pairs.select(F.col("b").alias("d"), F.col("a").alias("e"), "weight")
@@ -544,20 +634,36 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = links.unionByName(written(verified(second, held), "ngram-links2"))
     reached = connected_components(links).select(F.col("id").alias("rep"), "component")
     labels = classes.join(reached, "rep", "left").select(
-        "n", "k", "k2", F.coalesce("component", "rep").alias("component_id")
-    )
-    return rows.join(labels, ["n", "k", "k2"], "left").select(
-        "doc_id",
-        F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "n", "k", "k2", "rep", F.coalesce("component", "rep").alias("component")
     )
+    return rows.join(labels, ["n", "k", "k2"], "left")
 
 
 DEN_NUM = DEN + NUM
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component stays: that of the smallest id. Rows without id stay."""
-    found = jaccard_components(docs).select("doc_id", "component_id")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each component stays: that of the smallest id.
+
+    It is a row of the class whose smallest id is the component's; of several such rows
+    with that id the one of the smallest text hash stays, of equal ones the first by their
+    other columns. So ids that come again with other texts lose none of these. Rows without
+    id and texts without words link with nothing and stay.
+    """
+    found = _labelled(docs).where("n > 0 and doc_id = rep and rep = component")
+    stay = found.groupBy("n", "k", "k2").agg(F.min(F.struct("doc_id", "h", "h2")).alias("s")).select("s.*")
+    # The given columns travel as one, whatever their names.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_of().alias("text"),
+    )
+    plain = F.col("doc_id").isNull() | ~F.col("text").rlike(WORD)
+    keyed = rows.where(~plain).select("row", "doc_id", *_hashes())
+    first = keyed.join(stay, ["doc_id", "h", "h2"], "left_semi")
+    sortable = [
+        F.col("row").getField(f.name) for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)
+    ]
+    order = Window.partitionBy("doc_id", "h", "h2").orderBy(*sortable)
+    one = first.withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return one.select("row.*").unionByName(rows.where(plain).select("row.*"))

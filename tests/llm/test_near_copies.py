@@ -138,6 +138,60 @@ def test_rows_without_id_and_repeated_rows_and_no_rows(spark):
     assert ngram.jaccard_components(docs.limit(0)).collect() == []
 
 
+X, Y, Z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+
+
+@pytest.mark.parametrize(
+    "rows, want",
+    [
+        ([(2, Y), (5, X), (5, Y), (7, X)], [(2, Y), (5, X)]),
+        ([(2, Y), (2, Y), (3, Y)], [(2, Y)]),
+        ([(2, Y), (2, X), (2, Z), (4, X)], [(2, X), (2, Y), (2, Z)]),
+        ([(4, X), (3, X + " more"), (9, Z)], [(3, X + " more"), (9, Z)]),
+        ([(2, Y), (None, Y), (None, Y), (3, None), (3, None), (4, " ")], [(2, Y), (3, None), (3, None), (4, " "), (None, Y), (None, Y)]),
+        ([], []),
+    ],
+)
+def test_one_row_of_each_component_stays(spark, rows, want):
+    names = "_gone long, doc_id long, text string, h string, row int, stay string"
+    frame = spark.createDataFrame([(1, i, t, "a", 2, "b") for i, t in rows], names)
+    got = ngram.keep_one(frame)
+    assert got.columns == frame.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, i, t, "a", 2, "b") for i, t in want], key=repr)
+
+
+def test_one_row_of_each_component_stays_by_brute_force(spark):
+    rows = corpus(random.Random(9))
+    kept = ngram.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(
+        ((i, t) for (i, t), (_, _, c) in zip(sorted(rows), expected_components(rows), strict=True) if i == c), key=repr
+    )
+
+
+def test_similar_sets_share_what_their_prefixes_ask_for():
+    rng = random.Random(10)
+    close = 0
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        a = set(rng.sample(range(10_000), n))
+        b = {x for x in a if rng.random() > rng.choice([0.02, 0.08])} | set(rng.sample(range(10_000), n // 15))
+        if not b or ngram.DEN * len(a & b) < ngram.NUM * len(a | b):
+            continue
+        close += 1
+        prefixes, asked = [], []
+        for s in (a, b):
+            p = ngram.prefix_length(len(s))
+            asked.append(ngram.required(len(s), p, len(s), rng.choice([1, 3, 50])))
+            assert p + asked[-1] - 1 <= len(s)
+            prefixes.append(set(sorted(s)[: p + asked[-1] - 1]))
+        assert len(prefixes[0] & prefixes[1]) >= min(asked)
+        # A signature never has less in common than the prefixes.
+        signs = [np.sort(np.array(list(p), np.uint64).astype(np.uint16) % 50) for p in prefixes]
+        assert ngram.in_common(*signs) >= len(prefixes[0] & prefixes[1])
+    assert close > 500
+    assert ngram.in_common(np.array([1, 1, 2, 4]), np.array([1, 1, 1, 4, 5])) == 3
+
+
 def test_components_of_long_chains_and_stars(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(7, 7), (2000, 2001)] * 2
