@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# No match begins inside a run of its characters, and none gives back what it has read: the
+# time stays in proportion to the text, and the matcher does not recurse.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.]*[0-9])"
 DATE = r"(?<![0-9])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9])"
 SOCIAL = r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
@@ -143,20 +145,27 @@ def _pieces(text: Column, pattern: Column, rest) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """The rows with every value found in ``column`` replaced; n_found is added.
+    """The rows with every value found in ``column`` replaced; n_found, the number of
+    replaced values, is added, in place of a column of that name.
 
     Valid card numbers are looked for first, so that no other value takes a part of them.
     """
-    text = F.col(column)
-    cards = F.concat(F.lit("(?<![0-9])(?:"), F.array_join("_cards", "|"), F.lit(f")(?![0-9])|{FIRST}"))
-    first = F.when(F.size("_cards") > 0, F.concat(F.lit(f"{EMAIL}|"), cards)).otherwise(F.lit(FIRST))
+    # The given columns travel as one, whatever their names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(column).alias("text"))
+    text = F.col("text")
+    cards = F.concat(F.lit("(?<![0-9])(?:"), F.array_join("cards", "|"), F.lit(f")(?![0-9])|{FIRST}"))
+    first = F.when(F.size("cards") > 0, F.concat(F.lit(f"{EMAIL}|"), cards)).otherwise(F.lit(FIRST))
     plain = lambda s: F.array(F.struct(s.alias("s"), F.lit(False).alias("hit")))
-    staged = docs.withColumn("_cards", _cards(text)).withColumn("_first", first)
+    staged = rows.withColumn("cards", _cards(text)).withColumn("first", first)
     staged = staged.withColumn(
-        "_pieces", _pieces(text, F.col("_first"), lambda s: _pieces(s, F.lit(THEN), plain))
+        "pieces", _pieces(text, F.col("first"), lambda s: _pieces(s, F.lit(THEN), plain))
     )
-    put = F.transform("_pieces", lambda p: F.when(p["hit"], pseudonym(p["s"], key)).otherwise(p["s"]))
-    n = F.size(F.filter("_pieces", lambda p: p["hit"]))
-    return staged.withColumn(column, F.when(n > 0, F.array_join(put, "")).otherwise(text)).select(
-        *docs.columns, F.coalesce(F.greatest(n, F.lit(0)), F.lit(0)).alias("n_found")
+    put = F.transform("pieces", lambda p: F.when(p["hit"], pseudonym(p["s"], key)).otherwise(p["s"]))
+    staged = staged.withColumn("put", put)
+    # Values that fail their check stay.
+    n = F.size(F.filter(F.zip_with("pieces", "put", lambda p, q: p["s"] != q), lambda changed: changed))
+    new = F.when(n > 0, F.array_join("put", "")).otherwise(text)
+    return staged.select(
+        *[(new if c == column else F.col("row").getField(c)).alias(c) for c in docs.columns if c != "n_found"],
+        F.coalesce(F.greatest(n, F.lit(0)), F.lit(0)).alias("n_found"),
     )

@@ -63,3 +63,25 @@ def test_values_beside_other_numbers_are_found(spark):
 def test_the_network_is_one_to_one(spark):
     df = spark.range(1000).selectExpr("lpad(cast(id as string), 3, '0') as d")
     assert df.select(pii.feistel(df["d"], "k", "x").alias("p")).distinct().count() == 1000
+
+
+def test_long_runs_take_time_in_proportion_and_no_stack(spark):
+    runs = ["a" * 1_000_000, "7" * 1_000_000, "1-" * 500_000, "x@" + "a." * 100_000, "a." * 500_000, "1." * 500_000]
+    mails = "x@a.org " * 3
+    docs = spark.createDataFrame([(i, f"{r} {mails}") for i, r in enumerate(runs)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs, "k").collect()}
+    for i, r in enumerate(runs):
+        assert got[i]["n_found"] == (4 if i == 3 else 3), i
+        assert "x@a.org" not in got[i]["text"]
+        assert i == 3 or got[i]["text"].startswith(r)
+
+
+def test_only_replaced_values_count_and_names_may_clash(spark):
+    rows = [("1985-02-30 999.1.1.1", 0), ("4111 1111 1111 1112", 0), ("1985-02-28 4111 1111 1111 1111", 2), (None, 0), ("", 0)]
+    names = "text string, want int, _cards string, first int, pieces string, put int, row int, n_found int"
+    docs = spark.createDataFrame([(t, n, "c", 1, "p", 2, 3, 9) for t, n in rows], names)
+    got = pii.pseudonymise(docs, "k")
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert r["n_found"] == r["want"]
+        assert (r["_cards"], r["first"], r["pieces"], r["put"], r["row"]) == ("c", 1, "p", 2, 3)
