@@ -5,9 +5,10 @@ The pieces' lengths are counted (one row per length). A configuration is a set o
 lengths that fits into a sequence; the linear program covers the histogram by as few
 configurations as it can. Multiplicative weights solve it: each round prices every
 length by how much of it is covered so far, a knapsack dynamic program finds the
-configuration of the highest price, and that configuration gets a step. Whole numbers
-of configurations are then taken while lengths last; what is left is filled largest
-first. Lengths are counted in units of ``GRAIN`` tokens, which is one: exactly.
+configurations of the highest price, and those get a step; rounds go on until all is
+covered. The whole numbers of the configurations are then taken, and what the fractions
+leave (less than a sequence for each configuration) is filled largest first. Lengths are
+counted in units of ``GRAIN`` tokens, which is one: exactly.
 
 The plan depends on at most ``capacity`` counts and has a bounded number of rows. A
 piece's place is a lookup by its length and its rank among the pieces of that length;
@@ -37,7 +38,11 @@ from rivulet.llm.common import SPACE_BYTES, blocks, buffers, session, text_of, w
 CAPACITY = 4096
 END_ID = 1
 GRAIN = 1
-ROUNDS = 400
+STEP = 0.25
+NEAR = 0.005
+GREEDS = (1.0, 1.1)
+TINY = 1e-9
+FEW_COPIES = 16
 KNOWN_WORDS = 300_000
 PART = 2 << 20
 
@@ -186,65 +191,136 @@ def _then(chunks: Iterator[bytes], end: bytes) -> Iterator[bytes]:
     yield end
 
 
-def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """Indexes and numbers of the sizes that fit and have the highest total price."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
+def best_prices(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """For each room the highest total price of sizes, taken any number of times, that fit.
+
+    Sizes are in ascending order.
+    """
+    best = np.zeros(capacity + 1)
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right").tolist()
     # The best single size of the first k, and the best prices from the largest room down.
-    single = np.zeros(len(sizes) + 1, int)
-    for k in range(1, len(sizes) + 1):
-        i = single[k - 1]
-        single[k] = i if k > 1 and prices[i] >= prices[k - 1] else k - 1
+    single = np.concatenate([[0.0], np.maximum.accumulate(prices)]).tolist()
     down = np.zeros(capacity + 1)
     for c in range(1, capacity + 1):
-        best[c], choice[c] = best[c - 1], -1
-        if k := fits[c]:
-            i = int(single[k])
-            if prices[i] > best[c]:
-                best[c], choice[c] = prices[i], i
-            # Of two or more sizes the smallest takes half the room at most.
-            if k := fits[c // 2]:
-                value = down[capacity - c :].take(sizes[:k]) + prices[:k]
-                i = int(value.argmax())
-                if value[i] > best[c]:
-                    best[c], choice[c] = value[i], i
-        down[capacity - c] = best[c]
-    taken: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        i = int(choice[c])
-        if i < 0:
-            c -= 1
-        else:
-            taken[i] = taken.get(i, 0) + 1
-            c -= int(sizes[i])
-    return taken
+        value = max(best[c - 1], single[fits[c]])
+        # Of two or more sizes the smallest takes half the room at most.
+        if k := fits[c // 2]:
+            value = max(value, (down[capacity - c :].take(sizes[:k]) + prices[:k]).max())
+        best[c] = down[capacity - c] = value
+    return best
+
+
+def filling(
+    sizes: np.ndarray,
+    prices: np.ndarray,
+    best: np.ndarray,
+    room: int,
+    config: dict[int, int],
+    usable: np.ndarray | None = None,
+) -> dict[int, int]:
+    """The configuration filled up with the usable sizes that keep its price highest.
+
+    Of equally good sizes the longest is taken: those differ most between configurations.
+    """
+    while k := int(np.searchsorted(sizes, room, side="right")):
+        value = prices[:k] + best[room - sizes[:k]]
+        if usable is not None:
+            value[~usable[:k]] = 0.0
+        i = k - 1 - int(value[::-1].argmax())
+        if value[i] <= TINY:
+            break
+        # Many copies of a short size at once.
+        copies = np.arange(1, room // int(sizes[i]) + 1)
+        same = prices[i] * copies + best[room - copies * sizes[i]] >= value[i] * (1 - TINY)
+        n = int(copies[same][-1]) if len(copies) > FEW_COPIES else 1
+        config[i] = config.get(i, 0) + n
+        room -= n * int(sizes[i])
+    return config
+
+
+def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
+    """Indexes and numbers of the sizes that fit and have the highest total price."""
+    best = best_prices(sizes, prices, capacity)
+    return filling(sizes, prices, best, capacity, {})
+
+
+def solve(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, greed: float = 1.0
+) -> tuple[dict[tuple, float], float]:
+    """The linear program: how often each configuration is used, and a lower bound.
+
+    A configuration is a tuple of (index of size, number). Together they cover each size
+    exactly as often as demanded, in fractions. First prices are the sizes to the power
+    ``greed``: above 1, long ones go first and short ones are kept for the end. A round prices the sizes by how many
+    steps of them are covered; the knapsack program gives, for each size that is behind
+    the others, the configuration of the highest price that holds it. These are used, the
+    best first, until one of their sizes has gained its step: ``STEP`` of its demand, a
+    piece at least. Sizes that had their step are replaced by others, at a loss of price
+    of ``NEAR`` at most. Covered sizes have no price, so every round brings a size a step
+    further and there are at most len(sizes) / ``STEP`` rounds. Any prices give a bound:
+    what the demand is worth over what a sequence can be worth.
+    """
+    used: dict[tuple, float] = {}
+    covered, bound = np.zeros(len(sizes)), 0.0
+    while True:
+        live = np.flatnonzero(covered < 1 - TINY)
+        if not len(live):
+            return used, bound
+        mine, wanted, done = sizes[live], demand[live], covered[live]
+        level = np.floor(done / STEP + TINY)
+        level -= level.min()
+        prices = (mine / capacity) ** greed * np.exp(-level)
+        best = best_prices(mine, prices, capacity)
+        bound = max(bound, float(prices @ wanted) / best[capacity])
+        value = prices + best[capacity - mine]
+        behind = np.flatnonzero(level == 0)
+        # The best first; of equally good ones the longest, which few others can hold.
+        behind = behind[np.lexsort((-behind, -value[behind]))]
+        most = np.minimum(np.maximum(STEP, 1 / wanted), 1 - done)
+        left = most * wanted
+        usable = left > TINY * wanted
+        for first in behind.tolist():
+            if not usable[first]:
+                continue
+            config = filling(
+                mine, prices, best, capacity - int(mine[first]), {first: 1}, usable
+            )
+            items = np.array(list(config), int)
+            numbers = np.array(list(config.values()))
+            if prices[items] @ numbers < (1 - NEAR) * value[first]:
+                continue  # what it lacks has had its step: next round
+            numbers = np.minimum(numbers, wanted[items])
+            times = float((left[items] / numbers).min())
+            left[items] -= times * numbers
+            usable[items] = left[items] > TINY * wanted[items]
+            key = tuple(sorted(zip(live[items].tolist(), numbers.tolist(), strict=True)))
+            used[key] = used.get(key, 0.0) + times
+        covered[live] = done + most - left / wanted
 
 
 def configurations(
-    sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS
+    sizes: np.ndarray, demand: np.ndarray, capacity: int
 ) -> list[tuple[dict[int, int], int]]:
     """Configurations (numbers by index of size) and how often each is used.
 
-    Together they hold each size exactly as often as demanded.
+    Together they hold each size exactly as often as demanded. Of the plans for each of
+    ``GREEDS`` this is the one of the fewest sequences.
+    """
+    plans = [
+        rounded(solve(sizes, demand, capacity, greed)[0], sizes, demand, capacity)[0]
+        for greed in GREEDS
+    ]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def rounded(
+    used: dict[tuple, float], sizes: np.ndarray, demand: np.ndarray, capacity: int
+) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """Whole numbers of configurations, and how many of the first the program gave.
+
+    What the fractions leave is filled largest first.
     """
-    used: dict[tuple, float] = {}
-    covered = np.zeros(len(sizes))
-    for _ in range(rounds if len(sizes) else 0):
-        prices = sizes * np.exp(-4.0 * (covered - covered.min()))
-        taken = knapsack(sizes, prices, capacity)
-        if not taken:
-            break
-        items = np.array(list(taken), int)
-        numbers = np.minimum(np.array(list(taken.values())), demand[items])
-        step = 0.25 * float((demand[items] / numbers).min())
-        covered[items] += step * numbers / demand[items]
-        key = tuple(sorted(zip(items.tolist(), numbers.tolist(), strict=True)))
-        used[key] = used.get(key, 0.0) + step
-        if covered.min() >= 1:
-            break
     left, plan = demand.copy(), []
-    scale = 1 / max(1.0, float(np.average(covered, weights=sizes * demand))) if used else 1.0
 
     def take(config: dict[int, int], most: float) -> None:
         items = np.array(list(config), int)
@@ -255,17 +331,20 @@ def configurations(
             plan.append((config, times))
 
     for key, x in sorted(used.items(), key=lambda kv: -kv[1]):
-        take(dict(key), np.floor(x * scale))
+        take(dict(key), np.floor(x + TINY))
+    placed = len(plan)
     while left.any():
         config: dict[int, int] = {}
         room = capacity
-        for i in np.flatnonzero(left)[::-1].tolist():
+        open_ = np.flatnonzero(left)
+        while at := int(np.searchsorted(sizes[open_], room, side="right")):
+            i = int(open_[at - 1])
             n = min(room // int(sizes[i]), int(left[i]))
-            if n:
-                config[i] = n
-                room -= n * int(sizes[i])
+            config[i] = n
+            room -= n * int(sizes[i])
+            open_ = open_[: at - 1]
         take(config, np.inf)
-    return plan
+    return plan, placed
 
 
 def placement(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:

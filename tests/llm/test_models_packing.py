@@ -264,3 +264,33 @@ def test_every_stage_does_what_its_operator_says(spark):
     times = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert times == copies
     assert packed.where("piece = 0").count() == mixed.count()
+
+
+@pytest.mark.parametrize("kind", ["all lengths", "long", "middle", "two halves"])
+def test_the_program_places_nearly_all_near_its_bound(kind):
+    rng = np.random.default_rng(1)
+    sizes, demand, gap = {
+        "all lengths": (np.arange(1, 4096), rng.integers(2000, 8000, 4095), 0.006),
+        "long": (np.arange(1500, 2700), rng.integers(100, 800, 1200), 0.15),
+        "middle": (np.arange(900, 1800), rng.integers(1, 800, 900), 0.02),
+        "two halves": (np.array([2047, 2049]), np.array([10000, 10000]), 0.0),
+    }[kind]
+    used, bound = packing.solve(sizes, demand, 4096)
+    covered = np.zeros(len(sizes))
+    for key, times in used.items():
+        assert sum(int(sizes[i]) * n for i, n in key) <= 4096
+        for i, n in key:
+            covered[i] += n * times
+    assert np.allclose(covered, demand)
+    assert bound >= float(sizes @ demand) / 4096 - 1e-6
+    _, placed = packing.rounded(used, sizes, demand, 4096)
+    plan = packing.configurations(sizes, demand, 4096)
+    assert sum(t for _, t in plan) <= (1 + gap) * bound + 1
+    by_program, _ = packing.rounded(used, sizes, demand, 4096)
+    tokens = sum(t * sum(int(sizes[i]) * n for i, n in c.items()) for c, t in by_program[:placed])
+    assert tokens >= 0.9 * float(sizes @ demand)
+    whole = np.zeros(len(sizes), int)
+    for config, times in plan:
+        for i, n in config.items():
+            whole[i] += n * times
+    assert (whole == demand).all()
