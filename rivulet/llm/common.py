@@ -41,6 +41,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def working(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns, which no column of the frame has."""
+    taken, mark = {c.lower() for c in df.columns}, "_"
+    while any(f"{mark}{n}" in taken for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]
+
+
 def text_of(column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -18,7 +18,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SPACE_BYTES, text_of, written
+from rivulet.llm.common import SPACE_BYTES, text_of, working, written
 
 
 def lower_ascii(text: Column) -> Column:
@@ -82,26 +82,24 @@ def _without(lines: Column, drops: Column) -> Column:
 
 def line_dedup(docs: DataFrame, threshold: int = 2, min_chars: int = 10) -> DataFrame:
     """The rows with ``text`` cut, and n_lines (before), n_dropped added."""
+    drop_id, body, gone, lines = working(docs, "doc_id", "body", "drops", "lines")
     drops = dropped_lines(docs, threshold, min_chars).select(
-        F.col("doc_id").alias("_doc_id"), F.col("body").alias("_body"), F.col("drops").alias("_drops")
+        F.col("doc_id").alias(drop_id), F.col("body").alias(body), F.col("drops").alias(gone)
     )
-    on = [F.col("doc_id") == F.col("_doc_id"), F.xxhash64(text_of()) == F.col("_body")]
+    on = [F.col("doc_id") == F.col(drop_id), F.xxhash64(text_of()) == F.col(body)]
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*names).join(drops, on, "left").drop("_doc_id", "_body")
-    split = joined.withColumn("_lines", F.split(text_of(), "\n", -1))
+    joined = docs.select(*names).join(drops, on, "left").drop(drop_id, body)
+    split = joined.withColumn(lines, F.split(text_of(), "\n", -1))
     kept = F.get(
-        F.transform(
-            F.array("_lines"), lambda ls: F.array_join(_without(ls, F.col("_drops")), "\n")
-        ),
-        0,
+        F.transform(F.array(lines), lambda ls: F.array_join(_without(ls, F.col(gone)), "\n")), 0
     )
     return split.select(
         *[
-            F.when(F.col("_drops").isNull(), text_of()).otherwise(kept).alias("text")
+            F.when(F.col(gone).isNull(), text_of()).otherwise(kept).alias("text")
             if c == "text"
             else F.col(c)
             for c in names
         ],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import WORD, text_of, written
+from rivulet.llm.common import WORD, text_of, working, written
 
 SLOTS = 1 << 16
 BROADCAST_BYTES = 16 << 20
@@ -115,28 +115,34 @@ def mix(
     then need no shuffle; a larger one is joined by source and salt, so that a source with
     a third of all documents is many tasks.
     """
+    given, to, dealt, whole, last = working(docs, "source", "to", "salt", "whole", "last_slot")
     planned = written(plan(docs, seed=seed, **settings), "mixing-plan").select(
-        F.col("source").alias("_source"), "source_size", "target", "whole", "last_slot"
+        F.col("source").alias(given),
+        "source_size",
+        "target",
+        F.col("whole").alias(whole),
+        F.col("last_slot").alias(last),
     )
-    size = planned.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length("_source"), F.lit(0)))).first()[0]
+    size = planned.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length(given), F.lit(0)))).first()[0]
     names = [c for c in docs.columns if c not in ("source_size", "target", "copies")]
-    on = F.col("source").eqNullSafe(F.col("_source"))
+    on = F.col("source").eqNullSafe(F.col(given))
     rows = docs.select(*names)
     if (size or 0) <= broadcast_bytes:
         joined = rows.join(F.broadcast(planned), on, "left")
     else:
-        salted = planned.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = planned.withColumn(to, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        joined = rows.withColumn("_salt", salt).join(
-            salted, on & (F.col("_salt") == F.col("_to")), "left"
+        joined = rows.withColumn(dealt, salt).join(
+            salted, on & (F.col(dealt) == F.col(to)), "left"
         )
-    copies = F.col("whole") + (slot(seed) <= F.col("last_slot")).cast("int")
+    copies = F.col(whole) + (slot(seed) <= F.col(last)).cast("int")
     return joined.select(*names, "source_size", "target", copies.alias("copies"))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each row as often as the mix takes it, without the columns ``mix`` added."""
     names = [c for c in mixed.columns if c not in ("source_size", "target", "copies")]
+    (copy,) = working(mixed, "copy")
     return mixed.where("copies > 0").select(
-        *names, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-    ).drop("_copy")
+        *names, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(copy)
+    ).drop(copy)

@@ -294,3 +294,26 @@ def test_the_program_places_nearly_all_near_its_bound(kind):
         for i, n in config.items():
             whole[i] += n * times
     assert (whole == demand).all()
+
+
+def test_working_columns_clash_with_no_given_ones(spark):
+    docs = spark.createDataFrame(
+        [(1, "a line that comes twice\nb", "en", "s", "x"), (2, "a line that comes twice\nc", "en", "s", "y")],
+        DOCS,
+    )
+    taken = ["_doc_id", "_body", "_drops", "_lines", "_source", "_to", "_salt", "_copy", "_text", "_lang",
+             "_whole", "whole", "_last_slot", "__drops", "last_slot"]
+    wide = docs.select("*", *[F.concat(F.lit("own "), "doc_id").alias(c) for c in taken])
+
+    def own(df):
+        rows = df.collect()
+        assert all(r[c] == f"own {r['doc_id']}" for r in rows for c in taken)
+        return sorted((r["doc_id"], r["text"]) for r in rows)
+
+    assert own(lines.line_dedup(wide)) == [(1, "a line that comes twice\nb"), (2, "c")]
+    for limit in (mixing.BROADCAST_BYTES, 0):
+        mixed = mixing.mix(wide, broadcast_bytes=limit)
+        assert len(own(mixed)) == 2
+        assert set(own(mixing.repeated(mixed))) <= {(r["doc_id"], r["text"]) for r in docs.collect()}
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    assert len(own(toxicity.without_toxic(wide, labels))) == 2
