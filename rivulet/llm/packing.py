@@ -40,7 +40,6 @@ END_ID = 1
 GRAIN = 1
 STEP = 0.25
 NEAR = 0.005
-GREEDS = (1.0, 1.1)
 TINY = 1e-9
 FEW_COPIES = 16
 KNOWN_WORDS = 300_000
@@ -245,13 +244,12 @@ def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int,
 
 
 def solve(
-    sizes: np.ndarray, demand: np.ndarray, capacity: int, greed: float = 1.0
+    sizes: np.ndarray, demand: np.ndarray, capacity: int
 ) -> tuple[dict[tuple, float], float]:
     """The linear program: how often each configuration is used, and a lower bound.
 
     A configuration is a tuple of (index of size, number). Together they cover each size
-    exactly as often as demanded, in fractions. First prices are the sizes to the power
-    ``greed``: above 1, long ones go first and short ones are kept for the end. A round prices the sizes by how many
+    exactly as often as demanded, in fractions. A round prices the sizes by how many
     steps of them are covered; the knapsack program gives, for each size that is behind
     the others, the configuration of the highest price that holds it. These are used, the
     best first, until one of their sizes has gained its step: ``STEP`` of its demand, a
@@ -269,7 +267,7 @@ def solve(
         mine, wanted, done = sizes[live], demand[live], covered[live]
         level = np.floor(done / STEP + TINY)
         level -= level.min()
-        prices = (mine / capacity) ** greed * np.exp(-level)
+        prices = mine * np.exp(-level)
         best = best_prices(mine, prices, capacity)
         bound = max(bound, float(prices @ wanted) / best[capacity])
         value = prices + best[capacity - mine]
@@ -303,14 +301,10 @@ def configurations(
 ) -> list[tuple[dict[int, int], int]]:
     """Configurations (numbers by index of size) and how often each is used.
 
-    Together they hold each size exactly as often as demanded. Of the plans for each of
-    ``GREEDS`` this is the one of the fewest sequences.
+    Together they hold each size exactly as often as demanded.
     """
-    plans = [
-        rounded(solve(sizes, demand, capacity, greed)[0], sizes, demand, capacity)[0]
-        for greed in GREEDS
-    ]
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+    used, _ = solve(sizes, demand, capacity)
+    return rounded(used, sizes, demand, capacity)[0]
 
 
 def rounded(
