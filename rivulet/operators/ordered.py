@@ -79,27 +79,34 @@ class Layout:
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the chunk number: it grows with the order and is null for ordinary keys."""
         kinds = [df.schema[c].dataType for c in self.order]
-        cuts = [
-            F.struct(*[F.lit(v).cast(t) for v, t in zip(row, kinds, strict=True)])
-            for row in self.splits
-        ]
-        position, last = F.struct(*self.order), len(cuts)
+        cut = lambda i: F.struct(
+            *[F.lit(v).cast(t) for v, t in zip(self.splits[i], kinds, strict=True)]
+        )
+        position, last = F.struct(*self.order), len(self.splits)
         if last <= DIRECT_CUTS:
-            number = _halved(lambda i: position < cuts[i], last)
+            number = _halved(lambda i: position < cut(i), last)
         else:
-            # As one expression they would be more than Spark can compile, so a group of
-            # cuts is found first. No lambda functions: with them Spark mixes up the sides
-            # of later joins.
+            # As one expression they would be more than Spark can compile and the driver can
+            # hold, so a group of cuts is found first; the cuts in it come as a row of a small
+            # table. No lambda functions: with them Spark mixes up the sides of later joins.
             width = math.isqrt(last) + 1
             ends = [*range(width - 1, last - 1, width), last - 1]
-            df = df.withColumn("_group", _halved(lambda i: position < cuts[ends[i]], len(ends)))
-            at = lambda i: F.get(F.array(*cuts), F.col("_group") * width + i)
+            one = T.StructType([T.StructField(c, t) for c, t in zip(self.order, kinds, strict=True)])
+            text = T.StructType([T.StructField(c, T.StringType()) for c in self.order])
+            groups = [(g, list(self.splits[i : i + width])) for g, i in enumerate(range(0, last, width))]
+            schema = T.StructType([T.StructField("_in", T.IntegerType()), T.StructField("_cuts", T.ArrayType(text))])
+            table = df.sparkSession.createDataFrame(groups, schema)
+            table = table.select("_in", F.col("_cuts").cast(T.ArrayType(one)).alias("_cuts"))
+            df = df.withColumn("_group", _halved(lambda i: position < cut(ends[i]), len(ends)))
+            # At most MAX_CHUNKS cuts in all.
+            df = df.join(F.broadcast(table), F.col("_group") == F.col("_in"), "left")
+            at = lambda i: F.get("_cuts", F.lit(i))
             inside = _halved(lambda i: F.coalesce(position < at(i), F.lit(True)), width)
             number = F.when(F.col("_group") == len(ends), last).otherwise(F.col("_group") * width + inside)
         number = number.cast("long")
         if self.keys:
             number = F.when(F.xxhash64(*self.keys).isin(list(self.hot)), number)
-        return df.withColumn(CHUNK, number).drop("_group")
+        return df.withColumn(CHUNK, number).drop("_group", "_in", "_cuts")
 
 
 def layout(
@@ -133,11 +140,17 @@ def layout(
     sampled = measured.select(*order)
     if rows > wanted:
         sampled = sampled.sample(False, min(1.0, 1.2 * wanted / rows), seed=1)
-    # Bounded: about SAMPLE_PER_CHUNK rows per chunk, at most MAX_CHUNKS chunks.
-    ranked = sampled.orderBy(*order).limit(2 * wanted).select(*[F.col(c).cast("string") for c in order])
-    found = list(dict.fromkeys(tuple(r) for r in ranked.collect()))
-    step = max(1, len(found) // chunks)
-    splits = tuple(found[step::step])
+    # Bounded: about SAMPLE_PER_CHUNK rows per chunk, at most MAX_CHUNKS chunks. Only the
+    # cuts among them come to the driver.
+    ranked = sampled.distinct().select(
+        *order,
+        F.row_number().over(Window.orderBy(*order)).alias("_rank"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("_all"),
+    )
+    step = F.greatest(F.lit(1), F.floor(F.col("_all") / chunks))
+    chosen = ranked.where((F.col("_rank") > step) & ((F.col("_rank") - 1) % step == 0))
+    text = [F.col(c).cast("string").alias(f"_cut{i}") for i, c in enumerate(order)]
+    splits = tuple(tuple(r)[1:] for r in sorted(chosen.select("_rank", *text).collect()))
     return Layout(tuple(keys), tuple(order), tuple(hot), splits, limit)
 
 

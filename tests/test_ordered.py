@@ -113,3 +113,24 @@ def test_running_with_many_cuts(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k string, seq long, v int")
     got = o.running(df, ["k"], ["seq"], _values(), rows_per_chunk=7).collect()
     assert {r["seq"]: tuple(r[n] for n in _values()) for r in got} == _expected(rows)
+
+
+def test_the_plan_holds_few_of_many_cuts(spark, monkeypatch):
+    """Of 1,000 cuts only those between groups are part of the plan, and no other row is
+    brought to the driver than the cuts."""
+    rows = _rows(3)
+    df = spark.createDataFrame(rows, "k string, seq long, v int")
+    plan = o.Layout((), ("v", "seq"), (), tuple((str(i // 40), str(i % 40)) for i in range(1000)))
+    cuts = [(True, i // 40, i % 40) for i in range(1000)]
+    put, lit = [], F.lit
+    monkeypatch.setattr(F, "lit", lambda value: put.append(value) or lit(value))
+    got = plan.tag(df)
+    monkeypatch.undo()
+    assert len(put) < 300
+    for r in got.collect():
+        assert r[o.CHUNK] == sum(c <= (r["v"] is not None, r["v"] or 0, r["seq"]) for c in cuts)
+    collected, kind = [], type(df)
+    whole = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: collected.append(whole(self)) or collected[-1])
+    found = o.layout(df, [], ["seq"], 1)
+    assert len(found.splits) + 1 >= o.MIN_CHUNKS and max(map(len, collected)) <= len(found.splits)
