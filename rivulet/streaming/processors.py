@@ -178,8 +178,9 @@ class MatchWaiting(Keyed):
 class DailyLimit(Keyed):
     """The first ``limit`` rows of a key and UTC day pass, the next raises one alarm.
 
-    Days are counted apart and forgotten at their midnight. Output: key, ``seq``, route
-    (``pass`` or ``alarm``).
+    Days are counted apart and forgotten at their midnight. A key's days are one state, read
+    and written once per micro-batch, with one timer for the first of them: every access is
+    a call to the JVM. Output: key, ``seq``, route (``pass`` or ``alarm``).
     """
 
     def __init__(self, limit: int, seq: str = "seq"):
@@ -188,22 +189,34 @@ class DailyLimit(Keyed):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "day long", "n long")
+        self.counts = handle.getValueState("counts", "days array<long>, counts array<long>")
 
-    def row(self, key, row, timers):
-        day = row["ms"] // DAY_MS
-        known = self.counts.containsKey((day,))
-        count = self.counts.getValue((day,))[0] if known else 0
-        if not known:
-            self.handle.registerTimer((day + 1) * DAY_MS)
-        if count <= self.limit:
-            self.counts.updateValue((day,), (count + 1,))
-            yield (*key, row[self.seq], "pass" if count < self.limit else "alarm")
+    def _known(self) -> dict[int, int]:
+        kept = self.counts.get() if self.counts.exists() else None
+        return dict(zip(*kept, strict=True)) if kept else {}
 
-    def timer(self, key, due):
-        day = due // DAY_MS - 1
-        if self.counts.containsKey((day,)):
-            self.counts.removeKey((day,))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        output = Row(*self.names)
+        counts = self._known()
+        first = min(counts, default=None)
+        for row in sorted(rows, key=lambda r: r[self.seq]):
+            day = row["ms"] // DAY_MS
+            count = counts.get(day, 0)
+            if count <= self.limit:
+                counts[day] = count + 1
+                yield output(*key, row[self.seq], "pass" if count < self.limit else "alarm")
+        self.counts.update((list(counts), list(counts.values())))
+        if first is None or min(counts) < first:
+            self.handle.registerTimer((min(counts) + 1) * DAY_MS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        counts = {day: n for day, n in self._known().items() if (day + 1) * DAY_MS > passed}
+        if counts:
+            self.counts.update((list(counts), list(counts.values())))
+            self.handle.registerTimer((min(counts) + 1) * DAY_MS)
+        else:
+            self.counts.clear()
         return iter(())
 
 
