@@ -107,6 +107,46 @@ def test_nulls_empty_tables_and_labels_of_one_kind(spark):
     assert toxicity.without_toxic(docs.limit(0), some).collect() == []
 
 
+def test_shorter_runs_of_unknown_words_leave_every_maximum(monkeypatch):
+    rng = np.random.default_rng(3)
+    n_filters = len(toxicity.WIDTHS) * toxicity.FILTERS
+    embed = rng.normal(size=(6, toxicity.DIM)).astype(np.float32)
+    embed[0] = 0
+    filters = rng.normal(size=(2 * toxicity.DIM, len(toxicity.SPANS) * toxicity.FILTERS)).astype(np.float32)
+    model = toxicity.Model(embed, filters, np.zeros(n_filters, np.float32), np.zeros(n_filters), 0.0)
+    sizes = [0, 1, 3, 4, 9, 200, 0, 5]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    words = rng.integers(1, 6, (ends[-1], 2)).astype(np.int32) * (rng.random(ends[-1]) < 0.2)[:, None].astype(np.int32)
+    short, cut = toxicity.shortened(words, ends)
+    assert len(short) < len(words) and len(cut) == len(ends)
+    assert np.allclose(toxicity.pooled(model, short, cut), toxicity.pooled(model, words, ends), atol=1e-5)
+
+
+def test_every_text_that_may_be_learned_is(spark, monkeypatch):
+    """More texts than the old sample had: all are counted and trained on, over several tasks."""
+    n = 9000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("some words here "), F.when(F.col("id") % 3 == 0, "vile").otherwise("fine")).alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit("x").alias("score"),
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    counted, trained, start, averaged = [], [], toxicity.start, toxicity._averaged
+    monkeypatch.setattr(toxicity, "start", lambda df, n: counted.append(n) or start(df, n))
+    monkeypatch.setattr(toxicity, "PART_ROWS", 3000)
+    monkeypatch.setattr(toxicity, "ROUNDS", 2)
+    monkeypatch.setattr(
+        toxicity, "_averaged", lambda rows, *more: trained.extend(r.doc_id for r in rows.collect()) or averaged(rows, *more)
+    )
+    model = toxicity.train(docs, labels)
+    learnable = [i for i in range(n) if zlib.crc32(str(i).encode()) % 5 > 1]
+    assert counted[0].tolist() == [sum(i % 3 > 0 for i in learnable), sum(i % 3 == 0 for i in learnable)]
+    assert sorted(trained) == learnable
+    got = toxicity.decide(toxicity.score(docs, model), model)
+    assert got.where((F.col("doc_id") % 3 == 0) != F.col("toxic")).count() == 0
+    assert set(model.thresholds) == {"en"}
+
+
 # Language
 
 
