@@ -231,6 +231,12 @@ def test_lines_of_an_odd_page():
     assert got == [(t, pages.ARTICLE) for t in want]
 
 
+def test_whole_lines_have_what_markup_rules_out():
+    page = "<nav>Menu</nav><p>a <span class=ad>Buy <b>now</b></span>b<aside>Side<p>x</aside>c"
+    got = pages.whole_lines(page)
+    assert got == [("Menu", pages.GONE), ("a b", 0), ("Buy now", pages.GONE), *[(t, pages.GONE) for t in ("Side", "x")], ("c", 0)]
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
@@ -309,6 +315,53 @@ def test_pages_without_article_lose_what_their_neighbour_has(spark):
     assert pages.main_text(frame.limit(0)).collect() == []
 
 
+def test_pages_with_an_article_are_compared_with_their_neighbour_too(spark):
+    menu, foot = "<nav><a>Home</a></nav>", "<footer>Imprint</footer>"
+    rows = [
+        (1, "http://a.org/1", f"{menu}<article><h1>one</h1><p>quoted<p>more</article><p>Mail us{foot}"),
+        (2, "http://a.org/2", f"{menu}<article><h1>two</h1><p>quoted</article><p>Mail us{foot}"),
+        # Names no article: what is the neighbour's menu or footer is the site's here too.
+        (3, "http://a.org/2b", "<div>Home</div><div>three</div><div>Imprint</div>"),
+        (4, "http://b.org/1", f"{menu}<main>quoted</main>{foot}"),  # alone on its host
+        (5, "http://c.org/1", f"{menu}{foot}"),
+        (6, "http://c.org/2", f"{menu}<p>six{foot}"),
+        # A copy but for its menu is not the page next door of the page that it copies.
+        (7, "http://d.org/1", f"{menu}<p>Top<p>seven{foot}"),
+        (8, "http://d.org/2", f"<nav>Other</nav><p>Top<p>seven{foot}"),
+        (9, "http://d.org/3", f"{menu}<p>Top<p>nine{foot}"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["text"], r["n_lines"], r["n_shared"]) for r in pages.main_text(frame).collect()}
+    assert got == {
+        1: ("one\n\nquoted\n\nmore", 4, 2),  # the quotation comes back, it is the article's
+        2: ("two\n\nquoted", 3, 0),  # of its neighbours, the one by path is page 3
+        3: ("three", 3, 2),
+        4: ("quoted", 1, 0),
+        5: ("", 0, 0),
+        6: ("six", 1, 0),
+        7: ("seven", 2, 1),
+        8: ("seven", 2, 1),
+        9: ("nine", 2, 1),
+    }
+
+
+def test_shared_lines_of_the_given_articles(spark):
+    given = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = {r["page_id"]: r for r in queries.op13_main_text(spark, SF).collect()}
+    parts = {r["page_id"]: re.match(r"[a-z]+://([^/?#]*)([^?#]*)", r["url"]).groups() for r in given}
+    hosts, cut = {}, {r["page_id"]: pages.whole_lines(r["html"]) for r in given}
+    for i, (name, path) in parts.items():
+        hosts.setdefault(name.lower(), []).append((path, i))
+    alone = {found[0][1] for found in hosts.values() if len(found) == 1}
+    assert 0 < len(alone) < len(given)
+    for i, lines in cut.items():
+        own = [t for t, z in lines if z != pages.GONE]
+        assert got[i]["n_lines"] == len(own)
+        others = {t for _, j in hosts[parts[i][0].lower()] if j != i for t, _ in cut[j]}
+        assert got[i]["n_shared"] <= sum(t in others for t in own)
+    assert sum(r["n_shared"] for r in got.values()) > 0
+
+
 def test_neighbours_of_a_hot_host_are_the_same_in_chunks(spark):
     spark.conf.set("spark.rivulet.rowsPerChunk", "20")
     try:
