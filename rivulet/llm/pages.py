@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import blocks, session, text_of, written
 from rivulet.operators import ordered
+from rivulet.session import rows_per_chunk
 
 # Elements by what HTML says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,6 +105,8 @@ OPEN, MAIN, ARTICLE = 0, 1, 2
 GONE = -1
 # Bits that an alignment keeps at once.
 TABLE = 1 << 31
+# So many pages of a host always meet in one task.
+FEW = 100
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -358,12 +361,12 @@ def site_lines(told: DataFrame) -> DataFrame:
         F.min(F.struct("path", "hashes", "left")).alias("page")
     )
     distinct = written(distinct.select("host", "key", "key2", "page.*"), "pages-distinct")
-    place = F.struct("path", "hashes")
-    order = ["path", "key", "key2"]
-    plan = ordered.layout(distinct, ["host"], order)
-    near = ordered.running(distinct, ["host"], order, {"before": ordered.previous(place)}, plan=plan)
-    near = ordered.running(
-        near, ["host"], order, {"after": ordered.previous(place)}, reverse=True, plan=plan
+    # A host is hot if its pages are more than a task's share.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_chunk = min(rows_per_chunk(distinct.sparkSession), max(FEW, distinct.count() // tasks))
+    near = ordered.beside(
+        distinct, ["host"], ["path", "key", "key2"], F.struct("path", "hashes"), "before", "after",
+        rows_per_chunk=per_chunk,
     )
     first = F.when(_alike(F.col("path"), F.col("after.path")) > _alike(F.col("path"), F.col("before.path")), 1)
     met = near.select(

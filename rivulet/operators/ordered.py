@@ -341,6 +341,57 @@ def running(
     )
 
 
+def beside(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    before: str,
+    after: str,
+    plan: Layout | None = None,
+    rows_per_chunk: int | None = None,
+) -> DataFrame:
+    """Add ``before`` and ``after``: the value of the rows next to each one, null at the key's
+    ends. Both directions share one shuffle; ``order`` must be total within a key."""
+    plan = plan or layout(df, keys, order, rows_per_chunk)
+    # Wrapped, so that a null value is told from no row.
+    held = F.struct(value.alias("v"))
+    if not plan.chunked:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(
+            "*", F.lag(held).over(window)["v"].alias(before), F.lead(held).over(window)["v"].alias(after)
+        )
+
+    tagged = plan.tag(df)
+    window = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    local = tagged.select(
+        "*", F.lag(held).over(window).alias("_before"), F.lead(held).over(window).alias("_after")
+    )
+    # The ends of each chunk of a hot key, for the chunks next to it.
+    position = F.struct(*order)
+    ends = (
+        tagged.where(F.col(CHUNK).isNotNull())
+        .groupBy(*keys, CHUNK)
+        .agg(F.min_by(held, position).alias("_first"), F.max_by(held, position).alias("_last"))
+    )
+    # One row per chunk here, at most MAX_CHUNKS per key.
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    carry = ends.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col(CHUNK).alias("_key_chunk"),
+        F.lag("_last").over(along).alias("_carry_before"),
+        F.lead("_first").over(along).alias("_carry_after"),
+    )
+    match = F.col(CHUNK) == F.col("_key_chunk")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return local.join(carry, match, "left").select(
+        *df.columns,
+        F.coalesce("_before", "_carry_before")["v"].alias(before),
+        F.coalesce("_after", "_carry_after")["v"].alias(after),
+    )
+
+
 def following(
     df: DataFrame,
     keys: Sequence[str],

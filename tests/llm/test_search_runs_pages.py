@@ -374,6 +374,21 @@ def test_neighbours_of_a_hot_host_are_the_same_in_chunks(spark):
     assert got == {i: f"own {i}" + (f"\n\ngroup {i // 5}" if i % 10 == 5 else "") for i in range(400)}
 
 
+def test_a_host_of_more_pages_than_a_tasks_share_is_spread(spark, monkeypatch):
+    rows = [(i, f"http://{'a' if i % 4 else i}.org/p/{i:04d}", f"<article><p>Site<p>own {i}</article>") for i in range(400)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    plans, found = [], []
+    for few in (10, 1000):
+        monkeypatch.setattr(pages, "FEW", few)
+        made = pages.main_text(frame)
+        plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+        found.append(sorted(tuple(r) for r in made.collect()))
+    assert found[0] == found[1]
+    assert [r[4:] for r in found[0]] == [(2, 1 if i % 4 else 0) for i in range(400)]
+    # A task's share is 100 pages; the host has 300.
+    assert "_chunk" in plans[0] and "_chunk" not in plans[1]
+
+
 def test_articles_of_the_given_pages(spark):
     given = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r for r in queries.op13_main_text(spark, SF).collect()}

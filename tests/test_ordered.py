@@ -84,6 +84,27 @@ def test_following(spark, limit):
     assert {r["seq"]: r["g"] for r in got} == expected
 
 
+@pytest.mark.parametrize("limit", [5, 10_000])
+def test_beside(spark, limit):
+    rows = _rows(4)
+    df = spark.createDataFrame(rows, "k string, seq long, v int")
+    plan = o.layout(df, ["k"], ["seq"], limit)
+    assert plan.chunked == (limit == 5)
+    value = F.when(F.col("seq") % 7 > 0, F.col("seq"))  # a null value is a value
+    got = o.beside(df, ["k"], ["seq"], F.struct(value.alias("x")), "one", "two", plan=plan).collect()
+    by_key = {}
+    for key, seq, _ in rows:
+        by_key.setdefault(key, []).append(seq)
+    held = lambda seq: (seq if seq % 7 else None,)
+    expected = {}
+    for seqs in by_key.values():
+        for i, seq in enumerate(seqs):
+            expected[seq] = (
+                held(seqs[i - 1]) if i else None, held(seqs[i + 1]) if i + 1 < len(seqs) else None
+            )
+    assert {r["seq"]: tuple(v and tuple(v) for v in (r["one"], r["two"])) for r in got} == expected
+
+
 def test_only_summaries_reach_one_task(spark):
     """Without a key the rows stay spread; only one row per chunk is brought together."""
     df = spark.range(1000).withColumnRenamed("id", "seq")
