@@ -3,6 +3,7 @@
 import hashlib
 import html
 import math
+import os
 import random
 import re
 import zlib
@@ -345,21 +346,35 @@ def test_pages_with_an_article_are_compared_with_their_neighbour_too(spark):
     }
 
 
-def test_shared_lines_of_the_given_articles(spark):
-    given = spark.read.parquet(f"{SF}/pages.parquet").collect()
-    got = {r["page_id"]: r for r in queries.op13_main_text(spark, SF).collect()}
-    parts = {r["page_id"]: re.match(r"[a-z]+://([^/?#]*)([^?#]*)", r["url"]).groups() for r in given}
-    hosts, cut = {}, {r["page_id"]: pages.whole_lines(r["html"]) for r in given}
-    for i, (name, path) in parts.items():
-        hosts.setdefault(name.lower(), []).append((path, i))
-    alone = {found[0][1] for found in hosts.values() if len(found) == 1}
-    assert 0 < len(alone) < len(given)
-    for i, lines in cut.items():
-        own = [t for t, z in lines if z != pages.GONE]
-        assert got[i]["n_lines"] == len(own)
-        others = {t for _, j in hosts[parts[i][0].lower()] if j != i for t, _ in cut[j]}
-        assert got[i]["n_shared"] <= sum(t in others for t in own)
-    assert sum(r["n_shared"] for r in got.values()) > 0
+@pytest.mark.parametrize("few", [3, 1000])
+def test_neighbours_by_a_sequential_model(spark, monkeypatch, few):
+    monkeypatch.setattr(pages, "FEW", few)
+    rng = random.Random(few)
+    tags = {pages.GONE: "nav", pages.OPEN: "p", pages.ARTICLE: "article"}
+    rows, hosts = {}, {}
+    for i in range(120):
+        # Lines in one order, so that two pages share those in both.
+        took = sorted(rng.sample(range(30), rng.randint(2, 12)))
+        zones = [pages.GONE, pages.OPEN, *[pages.ARTICLE] * (i % 2)]
+        lines = [(f"line {j}", rng.choice(zones)) for j in took] + [(f"own {i}", pages.OPEN)]
+        host, path = f"h{rng.choice([0, 0, 0, 1, 2])}.org", "/" + "".join(rng.choices("abc", k=5)) + str(i)
+        rows[i] = (f"http://{host}{path}", lines)
+        hosts.setdefault(host, []).append((path, i))
+    want = {}
+    for found in hosts.values():
+        found.sort()
+        for k, (path, i) in enumerate(found):
+            two = [found[j] for j in (k - 1, k + 1) if 0 <= j < len(found)]
+            _, near = max(two, key=lambda p: len(os.path.commonprefix([path, p[0]])))
+            theirs = {t for t, _ in rows[near][1]}
+            left = [(t, z) for t, z in rows[i][1] if z != pages.GONE]
+            best = max(z for _, z in left)
+            text = [t for t, z in left if z == best and (best > pages.OPEN or t not in theirs)]
+            want[i] = ("\n\n".join(text), len(left), sum(t in theirs for t, _ in left))
+    made = [(i, u, "".join(f"<{tags[z]}>{t}</{tags[z]}>" for t, z in x)) for i, (u, x) in rows.items()]
+    frame = spark.createDataFrame(made, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["text"], r["n_lines"], r["n_shared"]) for r in pages.main_text(frame).collect()}
+    assert got == want
 
 
 def test_neighbours_of_a_hot_host_are_the_same_in_chunks(spark):
